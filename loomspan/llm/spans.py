@@ -37,7 +37,7 @@ def _tables(n: int) -> list[np.ndarray]:
     if not _powers or len(_powers[0]) < n:
         size = max(n, 1 << 14)
         with np.errstate(over="ignore"):
-            _powers[:] = [np.multiply.accumulate(np.concatenate([[1], np.full(size, x, np.uint64)]).astype(np.uint64)) for x in (_BASE, pow(_BASE, -1, 1 << 64))]
+            _powers[:] = [np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(size, x, np.uint64)])) for x in (_BASE, pow(_BASE, -1, 1 << 64))]
     return _powers
 
 
