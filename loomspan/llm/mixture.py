@@ -102,6 +102,7 @@ def largest_total(sizes: np.ndarray, shares: np.ndarray, cap: np.ndarray) -> flo
 
 class Mixture:
     """A sample of documents (id, source, lang, topic, text) near the target shares (source, target_share, max_repeats).
+    Documents with `tokens` in place of `text` are measured already (token_counts).
 
     Names count trimmed and lower-cased. Documents of null or unlisted sources aren't drawn; null languages and topics
     are values of their own, and beyond the `most` most frequent ones count as one, so that the table of cells, which
@@ -116,8 +117,9 @@ class Mixture:
     def __init__(self, documents: DataFrame, targets: DataFrame, scratch: Scratch, *, total: float | None = None, tokenizer: str = TOKENIZER, most: int = 32) -> None:
         spark = documents.sparkSession
         name = lambda c: F.lower(blank_to_null(c))
-        rows = documents.where("id is not null").select("id", name("source").alias("source"), F.coalesce(name("lang"), F.lit("")).alias("lang"), F.coalesce(F.col("topic").cast("string"), F.lit("")).alias("topic"), "text")
-        sized = scratch.save(token_counts(rows, tokenizer))
+        measured = "text" not in documents.columns
+        rows = documents.where("id is not null").select("id", name("source").alias("source"), F.coalesce(name("lang"), F.lit("")).alias("lang"), F.coalesce(F.col("topic").cast("string"), F.lit("")).alias("topic"), "tokens" if measured else "text")
+        sized = scratch.save(rows if measured else token_counts(rows, tokenizer))
         goals = targets.select(name("source").alias("source"), "target_share", "max_repeats").where("source is not null").groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("cap")).orderBy("source").limit(10_001).collect()
         if len(goals) > 10_000:
             raise ValueError("too many sources for one mixture")
@@ -153,12 +155,15 @@ class Mixture:
         drawn = drawn.select("id", "source", "tokens", whole.cast("int").alias("whole"), "cap", F.when(part > 0, u / part).alias("ratio"))
         # the ratio up to which a source is drawn, 1 by expectation, moved to where the histogram meets the target
         steps = drawn.groupBy("source", F.least(F.ceil(F.col("ratio") * STEPS), F.lit(4 * STEPS)).alias("step")).agg(F.sum("tokens").alias("t"), F.sum(F.col("tokens") * F.col("whole")).alias("base")).collect()
-        limits = []
-        for i, s in enumerate(sources):
-            own = [r for r in steps if r.source == s]
-            goal = share[i] * total - sum(r.base or 0 for r in own)
-            reached = np.cumsum([0, *[sum(r.t for r in own if r.step == k) for k in range(1, 4 * STEPS)]]) if own else np.zeros(1)
-            limits.append((s, float(np.argmin(np.abs(reached - goal))) / STEPS))
+        at = {s: i for i, s in enumerate(sources)}
+        drawn_by, base = np.zeros((len(sources), 4 * STEPS + 1)), np.zeros(len(sources))
+        for r in steps:
+            base[at[r.source]] += r.base or 0
+            if r.step is not None:
+                drawn_by[at[r.source], r.step] += r.t
+        # records beyond the last step are never drawn
+        reached = np.cumsum(drawn_by[:, : 4 * STEPS], axis=1)
+        limits = [(s, float(np.argmin(np.abs(reached[i] - (share[i] * total - base[i])))) / STEPS) for i, s in enumerate(sources)]
         limit = spark.createDataFrame(limits, "source string, upto double")
         chosen = drawn.join(F.broadcast(limit), "source")
         extra = F.when(F.col("ratio") <= F.col("upto"), 1).otherwise(0)

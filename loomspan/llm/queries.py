@@ -10,7 +10,7 @@ from loomspan.functions.text import fold_alias, fold_title, key, known_qid, stri
 from loomspan.llm.contamination import leaks, remove_spans
 from loomspan.llm.frequent import frequent, summarise
 from loomspan.llm.groups import assign, leaking
-from loomspan.llm.mixture import Mixture
+from loomspan.llm.mixture import Mixture, token_counts
 from loomspan.llm.overlap import Overlap
 from loomspan.llm.spans import shared_pairs, shared_share, shared_spans
 from loomspan.plans.tables import table
@@ -119,7 +119,9 @@ def _mixture(spark: SparkSession, d: str) -> Mixture:
     kinds = table(spark, d, "entity_rels").where(key("property_id") == "P31").select(key("qid").alias("qid"), readings.item(strip("value")).alias("kind")).where("qid is not null and kind is not null")
     kinds = kinds.groupBy("qid").agg(F.min("kind").alias("topic"))
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source", "lang", known_qid("parent_qid").alias("qid"), "text")
-    return Mixture(docs.join(kinds, "qid", "left").select("id", "source", "lang", "topic", "text"), table(spark, d, "mixture_targets"), Scratch(spark, "p9"))
+    # texts are measured where they are read; only their sizes move to meet the topics
+    sized = token_counts(docs).join(kinds, "qid", "left").select("id", "source", "lang", "topic", "tokens")
+    return Mixture(sized, table(spark, d, "mixture_targets"), Scratch(spark, "p9"))
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
