@@ -1,0 +1,308 @@
+"""Training-data operators against brute force, with dirty, empty and repeated input."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+pytest.importorskip("loomspan.llm")
+
+from loomspan.functions.text import words  # noqa: E402
+from loomspan.llm import contamination, frequent, groups, mixture, overlap, spans  # noqa: E402
+
+
+# frequent values
+
+
+def test_frequent(spark):
+    rng = random.Random(1)
+    rows = [("a", f"v{int(rng.paretovariate(0.6)) % 5000}") for _ in range(8000)] + [("b", "x")] * 50 + [("b", None), (None, "y"), ("c", "")]
+    df = spark.createDataFrame(rows, "field string, value string").withColumn("low", F.lit("clash")).repartition(7)
+    true = Counter((f, v) for f, v in rows if f and v is not None)
+    total = Counter(f for f, v in rows if f and v is not None)
+    for r in frequent.summarise(df, 300).collect():
+        assert r.low <= true[r.field, r.value] <= r.high and r.total == total[r.field]
+        assert r.high - r.low <= r.total / 301
+    got = {(r.field, r.value): r.n for r in frequent.frequent(df, 0.01, 300).collect()}
+    assert got == {k: n for k, n in true.items() if n >= 0.01 * total[k[0]]}
+    assert frequent.frequent(df.limit(0), 0.01, 300).count() == 0
+    with pytest.raises(ValueError, match="capacity"):
+        frequent.frequent(df, 0.001, 300)
+
+
+def test_prune_keeps_bounds():
+    counts, cut = frequent.prune({str(i): i for i in range(1, 11)}, 2, 4)
+    assert counts == {"7": 1, "8": 2, "9": 3, "10": 4} and cut == 8
+
+
+# overlaps
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j - 1] + (x != y), last[j] + 1, row[-1] + 1))
+    return row[-1]
+
+
+def test_word_edits():
+    rng = random.Random(2)
+    for _ in range(300):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randrange(9))] for _ in range(2))
+        for most in (0, 1, 3, 9):
+            assert min(overlap.word_edits(a, b, most), most + 1) == min(edits(a, b), most + 1)
+
+
+def sentences(rng, n):
+    vocabulary = [f"w{i}" for i in range(60)] + ["the", "of"] * 20
+    base = [[rng.choice(vocabulary) for _ in range(rng.randrange(6, 30))] for _ in range(n // 3)]
+    out = []
+    for _ in range(n):
+        w = list(rng.choice(base))
+        for _ in range(rng.randrange(0, 7)):
+            i = rng.randrange(len(w))
+            k = rng.randrange(3)
+            w[i : i + (k > 0)] = [rng.choice(vocabulary)] * (k < 2)
+            w = w or ["x"]
+        out.append(" ".join(w) + rng.choice(["", ".", "  !"]))
+    return out
+
+
+def test_overlap(spark, scratch):
+    rng = random.Random(3)
+    texts = sentences(rng, 240)
+    rows = [(i, i % 3 == 0, t.upper() if i % 5 == 0 else t) for i, t in enumerate(texts)] + [(900, True, texts[1]), (901, False, texts[1]), (902, True, None), (903, None, texts[1]), (904, True, ""), (None, True, texts[1])]
+    df = spark.createDataFrame([(i, None if h is None else int(h), t) for i, h, t in rows], "id long, side int, text string").withColumn("rep", F.lit(0)).withColumn("term", F.lit(0))
+    found = overlap.Overlap(df, scratch, threshold=0.8, least=8, edits=0.2)
+    got = [tuple(r) for r in found.member_pairs().collect()]
+    w = {i: words(t) for i, _, t in rows if i is not None}
+    sides = {i: h for i, h, _ in rows if i is not None and h is not None and len(w[i]) >= 8}
+    want = {(min(i, j), max(i, j)) for i, h in sides.items() if h for j, g in sides.items() if not g and edits(w[i], w[j]) <= 0.2 * max(len(w[i]), len(w[j])) + 1e-9}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 50
+    links = {r.id: r.n_links for r in found.links().collect()}
+    assert links == {i: sum(i in p for p in want) for i, h in sides.items() if h}
+
+
+def test_overlap_weighted(spark, scratch):
+    """Unit vectors with other weights: all pairs of cosine 0.6 and more."""
+    rng = random.Random(4)
+    texts = sentences(rng, 120)
+    weigh = lambda count, term: 0.5 + (sum(map(ord, term)) % 7) / 4
+    df = spark.createDataFrame([(i, i % 2, t) for i, t in enumerate(texts)], "id long, side int, text string")
+    found = overlap.Overlap(df, scratch, threshold=0.6, weigh=weigh, frequent_share=0.5)
+    rep = {r.id: r.rep for r in found.members.collect()}
+    vec = {i: {k: weigh(0, k) for k in overlap.numbered(words(t))} for i, t in enumerate(texts)}
+    norm = {i: sum(x * x for x in v.values()) for i, v in vec.items()}
+    want = set()
+    for i in range(0, 120, 2):
+        for j in range(1, 120, 2):
+            dot = sum(x * vec[j].get(k, 0) for k, x in vec[i].items())
+            if rep[i] == rep[j] or dot >= 0.6 * max(norm[i], norm[j]):
+                want.add((rep[i], rep[j]))
+    assert {(r.x, r.y) for r in found.pairs.collect()} == want
+
+
+def test_overlap_empty(spark, scratch):
+    df = spark.createDataFrame([], "id long, side int, text string")
+    found = overlap.Overlap(df, scratch, least=8, edits=0.2)
+    assert found.member_pairs().count() == found.links().count() == 0
+
+
+# grouped splits
+
+
+def related(rng, n):
+    rows = [(i, rng.choice([None, f"q{rng.randrange(n)}"]), rng.choice([None, f"t{rng.randrange(n)}"]), rng.choice(["train", "dev", None]), rng.choice(["s", "t", None])) for i in range(n)]
+    rows += [(n + i, f"c{i // 2}", f"d{(i + 1) // 2}", "train" if i else "test", "s") for i in range(60)]  # a chain
+    rows += [(2 * n + i, "hub", f"h{i}", "dev", "u") for i in range(40)] + [rows[0]]
+    return rows
+
+
+def roots(rows):
+    parent: dict = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for i, a, b, *_ in rows:
+        for k in (("a", a), ("b", b)):
+            if k[1] is not None:
+                parent[find(("r", i))] = find(k)
+    return {i: find(("r", i)) for i, *_ in rows}
+
+
+def test_leaking(spark, scratch):
+    rows = related(random.Random(5), 200)
+    df = spark.createDataFrame(rows, "id long, a string, b string, split string, stratum string").withColumn("k", F.lit("clash")).withColumn("component", F.lit(1))
+    splits: dict = {}
+    root = roots(rows)
+    for i, _, _, s, _ in rows:
+        splits.setdefault(root[i], set()).update({s} - {None})
+    # a record of neither entity is related to nothing, its repetition included
+    alone = {i for i, a, b, *_ in rows if a is None and b is None and all(not (x[1] or x[2]) for x in rows if x[0] == i)}
+    want = {i for i in root if len(splits[root[i]]) > 1 and i not in alone}
+    got = [r.id for r in groups.leaking(df, scratch).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_assign(spark, scratch):
+    rows = related(random.Random(6), 600)
+    df = spark.createDataFrame(rows, "id long, a string, b string, split string, stratum string")
+    got = groups.assign(df, {"train": 0.8, "dev": 0.1, "test": 0.1}, scratch).collect()
+    assert Counter(r.id for r in got) == Counter(r[0] for r in rows)
+    root, of = roots(rows), {}
+    for r in got:
+        of.setdefault(root[r.id], set()).add(r.assigned)
+    assert all(len(s) == 1 for s in of.values())
+    share = Counter(r.assigned for r in got)
+    largest = max(Counter(root.values()).values()) / len(rows)
+    assert all(abs(share[k] / len(rows) - v) <= max(0.03, largest) for k, v in (("train", 0.8), ("dev", 0.1), ("test", 0.1)))
+    assert groups.assign(df.limit(0), {"train": 1.0}, scratch).count() == 0 and groups.leaking(df.limit(0), scratch).count() == 0
+
+
+def test_allot():
+    sizes = np.array([[1.0, 1.0]] * 100)
+    got = Counter(groups.allot(sizes, np.array([0.8, 0.1, 0.1])).tolist())
+    assert got == {0: 80, 1: 10, 2: 10}
+
+
+# leaks
+
+
+def leak_rows(rng):
+    vocabulary = [f"wörd{i}" for i in range(40)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(3, 25)))) for i in range(30)] + [(77, None), (78, ""), (None, "x " * 20)]
+    documents = []
+    for d in range(80):
+        w = [rng.choice(vocabulary) for _ in range(30)]
+        if d % 2:
+            src = rng.choice(items[:30])[1].split()
+            k = rng.randrange(8, 20)
+            w[10:12] = [x.upper() + rng.choice(["", ",", "<b>", "</a> "]) for x in src[:k]]
+        documents.append((d, " ".join(w)))
+    return documents + [(500, None), (501, ""), (502, "<" + items[0][1]), (None, items[1][1]), documents[1]], items
+
+
+def test_leaks(spark):
+    documents, items = leak_rows(random.Random(7))
+    d = spark.createDataFrame(documents, "id long, text string").withColumn("gram", F.lit("clash")).withColumn("item", F.lit(1))
+    i = spark.createDataFrame(items, "id long, text string")
+    n = 6
+    want = {(x, y) for x, t in documents if x is not None for y, s in items if y is not None and set(contamination.grams(contamination.plain(t or ""), n)) & set(contamination.grams(s, n))}
+    got = [tuple(r) for r in contamination.leaks(d, i, n).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
+    assert {tuple(r) for r in contamination.leaks(d, i, n, max_grams=5).collect()} == want
+    assert contamination.leaks(d.limit(0), i, n).count() == contamination.leaks(d, i.limit(0), n).count() == 0
+    clean = {r.id: r for r in contamination.remove_spans(d, i, n).collect()}
+    hit = {x for x, _ in want}
+    grams = {g for y, s in items if y is not None for g in contamination.grams(s, n)}
+    for x, t in documents:
+        if x is not None:
+            assert (clean[x].words_cut > 0) == (x in hit) and (x in hit or clean[x].text == t)
+    scanner = contamination.Scanner({g: [0] for g in grams}, n)
+    text, cut = contamination.clean_text("keep this <i>" + items[0][1] + "</i> and that", contamination.Scanner(dict.fromkeys(contamination.grams(items[0][1], 3), [0]), 3))
+    assert text == "keep this <i></i> and that" and cut == len(items[0][1].split())
+    with pytest.raises(ValueError, match="n-grams"):
+        contamination.remove_spans(d, i, n, max_grams=2)
+    assert scanner.windows([]) == []
+
+
+def test_scanner():
+    rng = random.Random(8)
+    grams = {" ".join(rng.choice("abc") for _ in range(3)): [1] for _ in range(12)}
+    s = contamination.Scanner(grams, 3)
+    for _ in range(400):
+        w = [rng.choice("abcd") for _ in range(rng.randrange(14))]
+        assert [i for i, _ in s.windows(w)] == [i for i in range(len(w) - 2) if " ".join(w[i : i + 3]) in grams]
+
+
+# mixtures
+
+
+def test_rake():
+    tokens = np.array([[[100.0, 50]], [[10.0, 40]]])
+    fit = mixture.rake(tokens, [np.array([0.5, 0.5]), np.array([1.0]), np.array([0.5, 0.5])], np.array([1.0, 3.0]), 100.0)
+    got = fit.copies * tokens
+    assert np.allclose(got.sum((1, 2)), 50, atol=0.1) and (fit.copies <= np.array([1.0, 3.0])[:, None, None] + 1e-9).all()
+    assert mixture.largest_total(np.array([100.0, 10]), np.array([0.5, 0.5]), np.array([1.0, 3.0])) == 60
+
+
+def test_mixture(spark, scratch):
+    rng = random.Random(9)
+    docs = [(i, rng.choice(["a ", "A", "b", "c", None, "zz"]), rng.choice(["en", "EN ", "de", None]), rng.choice(["t1", "t2", None]), "word " * rng.randrange(0, 40)) for i in range(3000)] + [(9000, "b", "en", "t1", None), (9001, "b", None, None, ""), (None, "a", "en", "t1", "x")]
+    d = spark.createDataFrame(docs, "id long, source string, lang string, topic string, text string").withColumn("want", F.lit(1)).withColumn("tokens", F.lit("clash"))
+    t = spark.createDataFrame([("a", 0.5, 1.0), ("B", 0.3, 4.0), ("c", 0.1, 2.5), ("none", 0.1, 9.0), ("c", 0.05, 1.0), (None, 0.5, 1.0)], "source string, target_share double, max_repeats double")
+    m = mixture.Mixture(d, t, scratch)
+    report = {r.source: r for r in m.report.collect()}
+    assert set(report) == {"a", "b", "c", "none", "zz", None}
+    for s, share in (("a", 5 / 9), ("b", 3 / 9), ("c", 1 / 9)):
+        assert abs(report[s].share_reached - share) < 0.01
+        assert report[s].most_copies <= report[s].max_repeats
+    assert report["zz"].tokens_drawn == report["none"].tokens_drawn == report[None].tokens_drawn == 0
+    sample = [tuple(r) for r in m.sample.collect()]
+    assert len({r[0] for r in sample}) == len(sample)
+    again = mixture.Mixture(d.repartition(5), t, scratch)
+    assert sorted(map(tuple, again.sample.collect())) == sorted(sample)
+    small = mixture.Mixture(d, t, scratch, total=2000.0)
+    assert abs(sum(r.tokens_drawn for r in small.report.collect()) - 2000) < 200
+    for docs0, goals in ((d.limit(0), t), (d, t.limit(0))):
+        assert mixture.Mixture(docs0, goals, scratch).sample.count() == 0
+
+
+# shared spans
+
+
+def span_documents(rng):
+    alphabet = "abcdef ghij"
+    make = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
+    shared = [make(n) for n in (30, 45, 60, 100, 29)] + ["ab" * 40, "x" * 70]
+    docs = [(i, make(rng.randrange(0, 80)) + (rng.choice(shared)[: rng.randrange(20, 101)] if i % 2 else "") + make(rng.randrange(0, 80))) for i in range(60)]
+    docs += [(100 + i, shared[3] + make(20)) for i in range(12)] + [(200, None), (201, ""), (202, docs[1][1]), (203, docs[1][1]), (None, shared[3]), (204, "é" * 50 + "\U0001f600" + shared[2]), docs[1]]
+    return docs
+
+
+@pytest.mark.parametrize("crowd", [64, 2])
+def test_shared_spans(spark, scratch, crowd):
+    docs = span_documents(random.Random(10))
+    length = 30
+    df = spark.createDataFrame(docs, "id long, text string").withColumn("mini", F.lit("clash")).withColumn("start", F.lit(0))
+    found = spans.shared_spans(df, scratch, length=length, piece=10, crowd=crowd)
+    texts = {i: t for i, t in docs if i is not None and t is not None}
+    windows: dict = {}
+    for i, t in texts.items():
+        for k in range(len(t) - length + 1):
+            windows.setdefault(t[k : k + length], set()).add(i)
+    want = {(a, b) for s in windows.values() for a in s for b in s if a < b}
+    got = [tuple(r) for r in spans.shared_pairs(found).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+    share = {r.id: r.n_shared for r in spans.shared_share(df, found).collect()}
+    for i, t in texts.items():
+        covered = set()
+        for k in range(len(t) - length + 1):
+            if len(windows[t[k : k + length]]) > 1:
+                covered |= set(range(k, k + length))
+        assert share[i] == len(covered)
+    assert share[200] == 0
+
+
+def test_long_text_in_steps(monkeypatch):
+    monkeypatch.setattr(spans, "_STEP", 64)
+    rng = random.Random(11)
+    t = "".join(rng.choice("abc") for _ in range(500))
+    got = spans.runs(t, 30, 10)
+    assert sorted(w for _, a, b, _ in got for w in range(a, b + 1)) == list(range(471))
+    assert all(a <= p and p + 10 <= b + 30 for _, a, b, p in got)
+
+
+def test_shared_spans_empty(spark, scratch):
+    df = spark.createDataFrame([], "id long, text string")
+    found = spans.shared_spans(df, scratch)
+    assert found.count() == spans.shared_pairs(found).count() == spans.shared_share(df, found).count() == 0
