@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from loomspan.functions.normal import partial_ratio
 
@@ -62,7 +63,7 @@ def context_scores(cands: DataFrame, contexts: DataFrame, terms: DataFrame) -> D
     return each.groupBy("mention", "qid").agg(F.sum(F.col("n") * F.size(F.split("term", " "))).alias("hits"))
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(DoubleType())
 def title_ratio(title: pa.Array, alias: pa.Array) -> pa.Array:
     """Best partial match, 0 to 1, of title and alias; null if either is."""
     return pa.array([None if t is None or a is None else partial_ratio(t, a) / 100 for t, a in zip(title.to_pylist(), alias.to_pylist(), strict=True)], pa.float64())

@@ -15,7 +15,7 @@ def alias_counts(sentences: DataFrame) -> DataFrame:
 
 def windowed_counts(sentences: DataFrame, time: str = "seen_at", every: str = "30 days", late: str = "7 days") -> DataFrame:
     """(start, source, n): sentences per window and source; rows later than the watermark don't count."""
-    timed = sentences.where(F.col(time).isNotNull()).withWatermark(time, late)
+    timed = sentences.where(F.col(time).isNotNull()).withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
     return timed.groupBy(F.window(time, every).alias("w"), "source").agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "source", "n")
 
 
