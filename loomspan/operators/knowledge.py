@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomspan.functions.languages import ALIAS_PROPERTIES, IGNORED_DATATYPES, TYPE_PROPERTIES
+from loomspan.scratch import Scratch
 
 TABLES = ("labels", "descriptions", "aliases", "external_ids", "entity_values", "qualifiers", "wikipedia_links", "entity_rels")
 PLAIN = ("string", "external-id", "url")
@@ -80,8 +81,9 @@ def typed(rels: DataFrame, most: int, properties: tuple[str, ...] = TYPE_PROPERT
 
 def dense_ids(df: DataFrame, order: list[Column], first: int, name: str, slices: int = 64) -> DataFrame:
     """df with consecutive numbers in a total order. Rows are range-partitioned by it, slices are numbered apart and
-    shifted by the sizes of those before: no task sees all rows."""
-    cut = df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id())
+    shifted by the sizes of those before: no task sees all rows. The slices are written once, as their bounds come from
+    a sample that another run of the plan might draw otherwise."""
+    cut = Scratch(df.sparkSession, "ids").save(df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()))
     local = cut.withColumn("_row", F.row_number().over(Window.partitionBy("_slice").orderBy(*order)))
     sizes = local.groupBy("_slice").agg(F.count("*").alias("_n"))
     shift = sizes.select("_slice", (F.sum("_n").over(Window.orderBy("_slice")) - F.col("_n")).alias("_before"))  # a row per slice
