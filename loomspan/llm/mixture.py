@@ -24,7 +24,8 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed pattern of that vocabulary: how text is cut before byte pairs are merged.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 STEPS = 4096
-MAX_CELLS = 200_000
+MAX_SOURCES = 1000
+MAX_CELLS = 2_000_000
 _encoders: dict[str, object] = {}
 
 
@@ -120,8 +121,8 @@ class Mixture:
         measured = "text" not in documents.columns
         rows = documents.where("id is not null").select("id", name("source").alias("source"), F.coalesce(name("lang"), F.lit("")).alias("lang"), F.coalesce(F.col("topic").cast("string"), F.lit("")).alias("topic"), "tokens" if measured else "text")
         sized = scratch.save(rows if measured else token_counts(rows, tokenizer))
-        goals = targets.select(name("source").alias("source"), "target_share", "max_repeats").where("source is not null").groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("cap")).orderBy("source").limit(10_001).collect()
-        if len(goals) > 10_000:
+        goals = targets.select(name("source").alias("source"), "target_share", "max_repeats").where("source is not null").groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("cap")).orderBy("source").limit(MAX_SOURCES + 1).collect()
+        if len(goals) > MAX_SOURCES:
             raise ValueError("too many sources for one mixture")
         sources = [g.source for g in goals]
         known = sized.where(F.col("source").isin(sources)) if sources else sized.limit(0)
@@ -131,7 +132,7 @@ class Mixture:
             known = known.withColumn(c, F.when(F.col(c).isin(top[c]), F.col(c)).otherwise(F.lit("\0")) if top[c] else F.lit("\0"))
             top[c].append("\0")
         axes = [sources, top["lang"], top["topic"]]
-        if len(sources) * len(axes[1]) * len(axes[2]) > MAX_CELLS * 60:
+        if len(sources) * len(axes[1]) * len(axes[2]) > MAX_CELLS:
             raise ValueError("too many cells: lower `most`")
         place = [{x: i for i, x in enumerate(a)} for a in axes]
         tokens = np.zeros([max(1, len(a)) for a in axes])
