@@ -3,7 +3,8 @@
 Texts become vectors of term weights. Equal texts are one class first. All vectors order their terms alike, the rarest
 first, and put only a prefix into the inverted lists: the shortest one whose rest can't reach the threshold alone, by
 the rest's norm or by the rest's weights times the greatest weights they can meet. The first term that two similar
-vectors share stands in both prefixes. Where two lists meet, the norms of what follows and a bit signature of the terms
+vectors share stands in both prefixes. A term whose two lists are very long is split by the second shared term, which
+stands in prefixes that are as much longer as one more term needs. Where two lists meet, the norms of what follows and a bit signature of the terms
 bound the dot product from above; what is left gets its exact dot product.
 
 A pair counts if dot(x, y) >= t * max(|x|^2, |y|^2). For vectors of norm 1 that is cosine >= t. For plain counts it
@@ -72,10 +73,13 @@ def _hash(term: str) -> int:
     return xxhash.xxh64_intdigest(term) - (1 << 63)
 
 
-def prefix_length(weights: list[float], most: list[float], t: float) -> int:
-    """How many of the first terms must be indexed. most[i]: the greatest weight that term i can meet."""
+def prefix_length(weights: list[float], most: list[float], t: float, spare: float = 0.0) -> int:
+    """How many of the first terms must be indexed. most[i]: the greatest weight that term i can meet; spare: what terms
+    of the prefix may add to the rest without reaching the threshold. Above len(weights) if even no rest is too much."""
     square = sum(w * w for w in weights)
-    need, norm, n = t * square * (1 - SLACK), math.sqrt(square), len(weights)
+    need, norm, n = t * square * (1 - SLACK) - spare, math.sqrt(square), len(weights)
+    if need <= 0:
+        return n + 1
     rest = meet = 0.0
     while n:
         w = weights[n - 1]
@@ -87,15 +91,21 @@ def prefix_length(weights: list[float], most: list[float], t: float) -> int:
     return n
 
 
-def _prefixes(frequent, t: float, weigh):
-    schema = pa.schema([("term", pa.int64()), ("rep", pa.int64()), ("train", pa.bool_()), ("held", pa.bool_()), ("w", pa.float32()), ("rest", pa.float32()), ("square", pa.float32()), ("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64())])
+_LIST = pa.schema([("term", pa.int64()), ("rep", pa.int64()), ("train", pa.bool_()), ("held", pa.bool_()), ("w", pa.float32()), ("rest", pa.float32()), ("square", pa.float32()), ("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("first", pa.int64())])
+_LIST_DDL = "term long, rep long, train boolean, held boolean, w float, rest float, square float, n int, s1 long, s2 long, first long"
+_COLUMNS = ("rep", "w", "rest", "square", "n", "s1", "s2")
+
+
+def _prefixes(frequent, t: float, weigh, twice: bool = False):
+    """Rows of the inverted lists: a row per term of the prefix, or, `twice`, per term and a later one of the longer
+    prefix; `first` is the term itself, whose weight and rest bound the dot product."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = frequent.value
-        for batch in batches:
-            cols: list[list] = [[] for _ in schema]
+        for batch in (b.slice(k, 2000) for b in batches for k in range(0, b.num_rows, 2000)):
+            cols: list[list] = [[] for _ in _LIST]
             for rep, text, train, held in zip(*(batch.column(c).to_pylist() for c in ("rep", "text_key", "train", "held")), strict=True):
-                terms = sorted(((counts.get(x, 0), x) for x in numbered(text.split(" "))))
+                terms = sorted((counts.get(x, 0), x) for x in numbered(text.split(" ")))
                 weights = [weigh(c, x) for c, x in terms]
                 hashes = [_hash(x) for _, x in terms]
                 sign = [0, 0]
@@ -103,14 +113,21 @@ def _prefixes(frequent, t: float, weigh):
                     sign[h >> 6 & 1] |= 1 << (h & 63)
                 signed = [s - (1 << 64) if s >> 63 else s for s in sign]
                 square = sum(w * w for w in weights)
-                p, after = prefix_length(weights, [weigh(c, x) for c, x in terms], t), square
+                p, after = prefix_length(weights, weights, t), square
+                far = prefix_length(weights, weights, t, max(weights) ** 2) if twice else 0
                 for i in range(p):
                     after -= weights[i] * weights[i]
-                    for c, v in zip(cols, (hashes[i], rep, train, held, weights[i], math.sqrt(max(after, 0.0)), square, len(terms), *signed), strict=True):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+                    keys = [hashes[i]]
+                    if twice:
+                        keys = [_hash(f"{hashes[i]} {h}") for h in hashes[i + 1 : far]]
+                        if far > len(terms):  # one shared term may do
+                            keys.append(_hash(f"{hashes[i]} alone"))
+                    for key in keys:
+                        for c, v in zip(cols, (key, rep, train, held, weights[i], math.sqrt(max(after, 0.0)), square, len(terms), *signed, hashes[i]), strict=True):
+                            c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _LIST, strict=True)], schema=_LIST)
 
-    return run, "term long, rep long, train boolean, held boolean, w float, rest float, square float, n int, s1 long, s2 long"
+    return run
 
 
 def unit_weight(count: int, term: str) -> float:
@@ -168,7 +185,7 @@ class Overlap:
     out; repeated rows are members of one class.
     """
 
-    def __init__(self, rows: DataFrame, scratch: Scratch, *, threshold: float = 0.8, least: int = 1, edits: float | None = None, weigh=unit_weight, frequent_share: float = 0.0005) -> None:
+    def __init__(self, rows: DataFrame, scratch: Scratch, *, threshold: float = 0.8, least: int = 1, edits: float | None = None, weigh=unit_weight, frequent_share: float = 0.0005, crowd: int = 20_000_000) -> None:
         spark, sc = rows.sparkSession, rows.sparkSession.sparkContext
         keyed = rows.where("id is not null and side is not null and text is not null").select("id", F.col("side").cast("byte").alias("side"), "text")
         keyed = keyed.mapInArrow(_keys(max(least, 1)), "id long, side byte, text_key string")
@@ -183,10 +200,16 @@ class Overlap:
         # only the order of frequent terms matters; there are at most (terms a text / frequent_share) of them
         df = vectors.select("text_key").mapInArrow(_count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
         counts = sc.broadcast({r.term: r.n for r in df.where(F.col("n") > F.greatest(F.lit(20), F.lit(total * frequent_share))).collect()})
-        run, schema = _prefixes(counts, threshold, weigh)
-        lists = scratch.save(vectors.mapInArrow(run, schema))
-        x = lists.where("train").select("term", *[F.col(c).alias(f"{c}_x") for c in ("rep", "w", "rest", "square", "n", "s1", "s2")])
-        y = lists.where("held").select("term", *[F.col(c).alias(f"{c}_y") for c in ("rep", "w", "rest", "square", "n", "s1", "s2")])
+        lists = scratch.save(vectors.mapInArrow(_prefixes(counts, threshold, weigh), _LIST_DDL))
+        # terms of which so many pairs would be looked at are split by a second shared term
+        both = lists.groupBy("term").agg(F.count_if("train").alias("a"), F.count_if("held").alias("b"))
+        hot = scratch.save(both.where(F.col("a") * F.col("b") > crowd).select(F.col("term").alias("first")))
+        if not hot.isEmpty():
+            of_hot = lists.join(hot, "first", "left_semi").select("rep").distinct()
+            split = vectors.join(of_hot, "rep", "left_semi").mapInArrow(_prefixes(counts, threshold, weigh, twice=True), _LIST_DDL)
+            lists = scratch.save(lists.join(hot, "first", "left_anti").unionByName(split.join(hot, "first", "left_semi").select(lists.columns)), lists)
+        x = lists.where("train").select("term", *[F.col(c).alias(f"{c}_x") for c in _COLUMNS])
+        y = lists.where("held").select("term", *[F.col(c).alias(f"{c}_y") for c in _COLUMNS])
         t = F.lit(threshold * (1 - 1e-5))
         need = t * F.greatest("square_x", "square_y")
         close = x.join(y, "term").where(F.col("rep_x") != F.col("rep_y"))
@@ -196,8 +219,8 @@ class Overlap:
             close = close.where(differ <= F.col("n_x") + F.col("n_y") - 2 * need)
         candidates = close.select(F.col("rep_x").alias("x"), F.col("rep_y").alias("y")).distinct()
         texts = self.classes.select("rep", "text_key")
-        both = candidates.join(texts.select(F.col("rep").alias("x"), F.col("text_key").alias("text_x")), "x").join(texts.select(F.col("rep").alias("y"), F.col("text_key").alias("text_y")), "y")
-        exact = both.select("x", "y", "text_x", "text_y").mapInArrow(_verify(counts, threshold, weigh, edits), "x long, y long, cosine double")
+        pairs = candidates.join(texts.select(F.col("rep").alias("x"), F.col("text_key").alias("text_x")), "x").join(texts.select(F.col("rep").alias("y"), F.col("text_key").alias("text_y")), "y")
+        exact = pairs.select("x", "y", "text_x", "text_y").mapInArrow(_verify(counts, threshold, weigh, edits), "x long, y long, cosine double")
         same = self.classes.where("train and held").select(F.col("rep").alias("x"), F.col("rep").alias("y"), F.lit(1.0).alias("cosine"))
         self.pairs = scratch.save(exact.unionByName(same))
 

@@ -74,12 +74,13 @@ def sentences(rng, n):
     return out
 
 
-def test_overlap(spark, scratch):
+@pytest.mark.parametrize("crowd", [20_000_000, 1])
+def test_overlap(spark, scratch, crowd):
     rng = random.Random(3)
     texts = sentences(rng, 240)
     rows = [(i, i % 3 == 0, t.upper() if i % 5 == 0 else t) for i, t in enumerate(texts)] + [(900, True, texts[1]), (901, False, texts[1]), (902, True, None), (903, None, texts[1]), (904, True, ""), (None, True, texts[1])]
     df = spark.createDataFrame([(i, None if h is None else int(h), t) for i, h, t in rows], "id long, side int, text string").withColumn("rep", F.lit(0)).withColumn("term", F.lit(0))
-    found = overlap.Overlap(df, scratch, threshold=0.8, least=8, edits=0.2)
+    found = overlap.Overlap(df, scratch, threshold=0.8, least=8, edits=0.2, crowd=crowd)
     got = [tuple(r) for r in found.member_pairs().collect()]
     w = {i: words(t) for i, _, t in rows if i is not None}
     sides = {i: h for i, h, _ in rows if i is not None and h is not None and len(w[i]) >= 8}
@@ -89,13 +90,14 @@ def test_overlap(spark, scratch):
     assert links == {i: sum(i in p for p in want) for i, h in sides.items() if h}
 
 
-def test_overlap_weighted(spark, scratch):
+@pytest.mark.parametrize("crowd", [20_000_000, 0])
+def test_overlap_weighted(spark, scratch, crowd):
     """Unit vectors with other weights: all pairs of cosine 0.6 and more."""
     rng = random.Random(4)
-    texts = sentences(rng, 120)
+    texts = sentences(rng, 117) + ["alone", "Alone!", "alone two"]
     weigh = lambda count, term: 0.5 + (sum(map(ord, term)) % 7) / 4
     df = spark.createDataFrame([(i, i % 2, t) for i, t in enumerate(texts)], "id long, side int, text string")
-    found = overlap.Overlap(df, scratch, threshold=0.6, weigh=weigh, frequent_share=0.5)
+    found = overlap.Overlap(df, scratch, threshold=0.6, weigh=weigh, frequent_share=0.5, crowd=crowd)
     rep = {r.id: r.rep for r in found.members.collect()}
     vec = {i: {k: weigh(0, k) for k in overlap.numbered(words(t))} for i, t in enumerate(texts)}
     norm = {i: sum(x * x for x in v.values()) for i, v in vec.items()}
