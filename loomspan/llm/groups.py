@@ -23,15 +23,16 @@ def _node(c: Column) -> Column:
     return F.concat(F.lpad(F.hex(F.xxhash64(c)), 16, "0"), F.lit(":"), c)
 
 
-def _linking(edges: DataFrame, scratch: Scratch, old: DataFrame | None = None) -> DataFrame:
+def _linking(edges: DataFrame, scratch: Scratch, old: DataFrame | None = None, rows: int | None = None) -> DataFrame:
     """Edges of right nodes that still join two or more left ones."""
     more = edges.groupBy("b").agg(F.min("a").alias("m"), F.max("a").alias("x")).where("m != x").select("b", "m")
-    return scratch.save(lookup(edges, more, "b").where("m is not null"), old)
+    return scratch.save(lookup(edges, more, "b", rows).where("m is not null"), old)
 
 
 def components(pairs: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, component) of the left nodes of (a, b) whose component isn't their own label: all others are their own."""
     edges = _linking(pairs.where("a is not null and b is not null").select("a", "b").distinct(), scratch)
+    n = edges.count()  # of a written table; there are never more edges or labels to look up than that
     mapping = scratch.save(edges.select("a", F.col("a").alias("component")).distinct())
     while True:
         smallest = scratch.save(edges.groupBy("a").agg(F.min("m").alias("to")))
@@ -40,9 +41,9 @@ def components(pairs: DataFrame, scratch: Scratch) -> DataFrame:
         # two steps of pointers at once
         jump = smallest.join(smallest.select(F.col("a").alias("to"), F.col("to").alias("on")), "to", "left").select("a", F.coalesce("on", "to").alias("to"))
         jump = scratch.save(jump, smallest)
-        mapping = scratch.save(lookup(mapping, jump.select(F.col("a").alias("component"), "to"), "component").select("a", F.coalesce("to", "component").alias("component")), mapping)
-        moved = lookup(edges.select("a", "b"), jump, "a").select(F.coalesce("to", "a").alias("a"), "b").distinct()
-        edges = _linking(moved, scratch, edges)
+        mapping = scratch.save(lookup(mapping, jump.select(F.col("a").alias("component"), "to"), "component", n).select("a", F.coalesce("to", "component").alias("component")), mapping)
+        moved = lookup(edges.select("a", "b"), jump, "a", n).select(F.coalesce("to", "a").alias("a"), "b").distinct()
+        edges = _linking(moved, scratch, edges, n)
 
 
 def group_keys(records: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
