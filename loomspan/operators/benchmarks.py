@@ -117,3 +117,20 @@ def tfidf_candidates(queries: DataFrame, concepts: DataFrame, k: int, n: int = 3
 
 #: Candidate generators by name.
 GENERATORS = {"standard": judged, "list": judged, "contextual": merged_ranking}
+
+
+def contextual_scores(cands: DataFrame, hits: DataFrame) -> DataFrame:
+    """cands (mention, alias, qid, title, prior) with the context score: the prior, page hits, how well the title matches
+    the alias, and their shared words, each weighted far above the one before it."""
+    both = cands.join(hits, ["mention", "qid"], "left")
+    ratio = F.coalesce(title_ratio("title", "alias"), F.lit(0.0))
+    words = F.coalesce(jaccard(F.lower("title"), F.lower("alias")), F.lit(0.0))
+    return both.withColumn("context", F.col("prior") + 10_000 * F.coalesce("hits", F.lit(0)) + 100_000 * ratio + 10_000 * words).drop("hits")
+
+
+def split_by_start(documents: DataFrame, order: str, starts: dict[str, int]) -> DataFrame:
+    """documents in order with `split`: each split begins at its document number."""
+    out = F.lit(None).cast("string")
+    for name, first in sorted(starts.items(), key=lambda x: x[1]):
+        out = F.when(F.col(order) >= first, name).otherwise(out)
+    return documents.withColumn("split", out)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import string
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomspan.functions.languages import ENGLISH, FEMALE_QIDS, MALE_QIDS, UNKNOWN, Language
-from loomspan.functions.normal import sha1_bucket, span_overlap, word_spans
+from loomspan.functions.normal import normal_alias, sha1_bucket, span_overlap, word_spans
 
 
 def pronoun_tokens(sents: DataFrame, keep: list[str], text: str, language: Language = ENGLISH) -> DataFrame:
@@ -84,22 +87,55 @@ def pruned_votes(votes: DataFrame, doc: str, doc_qid: str) -> DataFrame:
     return top.where("r = 1 and (n = 1 or weight > 5 * second)").select(doc, "alias", "qid")
 
 
+def _grams(most_words: int, avoid: frozenset[str], plain: frozenset[str], form: str):
+    bare_table = str.maketrans(dict.fromkeys(string.punctuation))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[str, bool, bool]] = {}
+
+        def word(w: str) -> tuple[str, bool, bool]:
+            """Its normal form; whether it may stand at an end; whether it counts as a noun."""
+            if w not in known:
+                if len(known) > 100_000:
+                    known.clear()
+                bare = w.translate(bare_table).strip()
+                known[w] = normal_alias(w, form=form), w not in avoid and bare != "", bare != "" and bare.lower() not in plain
+            return known[w]
+
+        for batch in (b.slice(k, 1000) for b in batches for k in range(0, b.num_rows, 1000)):
+            at, n, start, end, alias = [], [], [], [], []
+            for row, t in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                found = [(m.start(), m.end(), *word(m.group())) for m in re.finditer(r"\S+", t or "")]
+                # what lies between two words is a blank, or, without one, nothing in the normal form
+                glue = [" " if " " in t[a[1] : b[0]] else "" for a, b in zip(found, found[1:])]
+                for i, (s, _, _, opens, _) in enumerate(found):
+                    if not opens:
+                        continue
+                    noun, text = False, ""
+                    for j in range(i, min(i + most_words, len(found))):
+                        _, e, norm, closes, is_noun = found[j]
+                        text += (glue[j - 1] if j > i else "") + norm
+                        noun = noun or is_noun
+                        if closes and noun and (name := " ".join(text.split())):
+                            at.append(row), n.append(j - i + 1), start.append(s), end.append(e), alias.append(name)
+            index = pa.array(at, pa.int32())
+            keep = [batch.column(c).take(index) for c in range(batch.num_columns - 1)]
+            numbers = [pa.array(x, pa.int32()) for x in (n, start, end)]
+            yield pa.RecordBatch.from_arrays([*keep, *numbers, pa.array(alias, pa.string())], [*batch.schema.names[:-1], "n", "start", "end", "alias"])
+
+    return run
+
+
 def candidate_grams(sents: DataFrame, keep: list[str], text: str, most_words: int, language: Language = ENGLISH) -> DataFrame:
-    """A row per n-gram of up to most_words words that may be a mention: keep, n, start, end, gram.
+    """A row per n-gram of up to most_words words that may be a mention: keep, n, start, end, alias in normal form.
 
     Neither end is a word to avoid or mere punctuation. A tagger is a plug-in; without one, a word counts as a noun if
-    it isn't a stop word, so a single word must not be one and a longer n-gram must hold one that isn't."""
-    spans = sents.select(*keep, F.col(text).alias("_t"), word_spans(F.col(text)).alias("_w"))
-    sizes = F.sequence(F.lit(1), F.lit(most_words))
-    grams = F.flatten(F.transform(sizes, lambda n: F.when(F.size("_w") >= n, F.transform(F.sequence(F.lit(0), F.size("_w") - n), lambda i: F.struct(n.alias("n"), F.slice("_w", i + 1, n).alias("ws")))).otherwise(F.expr("cast(array() as array<struct<n:int,ws:array<struct<word:string,start:int,end:int>>>>)"))))
-    one = spans.select(*keep, "_t", F.explode(grams).alias("g")).select(*keep, "_t", F.col("g.n").alias("n"), F.col("g.ws").alias("ws"))
-    first, last = F.element_at("ws", 1), F.element_at("ws", -1)
-    bare = lambda w: F.translate(w, string.punctuation, "")
-    stop = sorted(language.stop | set(language.avoid))
-    noun = F.exists("ws", lambda w: ~F.lower(bare(w["word"])).isin(*stop) & (bare(w["word"]) != ""))
-    ok = ~first["word"].isin(*language.avoid) & ~last["word"].isin(*language.avoid) & (bare(first["word"]) != "") & (bare(last["word"]) != "") & noun
-    start, end = first["start"], last["end"]
-    return one.where(ok).select(*keep, "n", start.alias("start"), end.alias("end"), F.substring(F.col("_t"), start + 1, end - start).alias("gram"))
+    it isn't a stop word, so a single word must not be one and a longer n-gram must hold one that isn't. Null and empty
+    texts have none. An Arrow function, as n-grams with places take quadratic time in built-in ones."""
+    types = dict(sents.dtypes)
+    schema = ", ".join(f"`{k}` {types[k]}" for k in keep) + ", n int, start int, end int, alias string"
+    plain = frozenset(language.stop) | frozenset(language.avoid)
+    return sents.select(*keep, text).mapInArrow(_grams(most_words, frozenset(language.avoid), plain, language.form), schema)
 
 
 def greedy_spans(candidates: DataFrame, keep: list[str], taken: DataFrame | None = None) -> DataFrame:
@@ -149,3 +185,39 @@ def aka(grams: DataFrame, votes: DataFrame, doc: str = "doc") -> DataFrame:
     """N-grams that are aliases of the page's entity and for which the page's votes name it. votes: (doc, alias, qid)
     restricted to the page's own entity."""
     return grams.join(votes.select(doc, F.col("alias")), [doc, "alias"], "left_semi")
+
+
+def swap_pronouns(sents: DataFrame, swaps: DataFrame, key: str, text: str, mentions: str) -> DataFrame:
+    """sents with pronouns replaced by names, and the spans of all their mentions moved along.
+
+    swaps: (key, start, end, name), none overlapping; possessive ones should end in " 's". mentions: a column of
+    array<struct<start, end, ..>>; a mention that is itself replaced spans its name. Sentences without swaps stay."""
+    lists = swaps.groupBy(key).agg(F.sort_array(F.collect_set(F.struct("start", "end", "name"))).alias("_s"))
+    empty = F.expr("cast(array() as array<struct<start:int,end:int,name:string>>)")
+    both = sents.join(lists, key, "left").withColumn("_s", F.coalesce(F.col("_s").cast("array<struct<start:int,end:int,name:string>>"), empty))
+    built = F.aggregate(
+        "_s", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
+        lambda a, x: F.struct(F.concat(a["out"], F.substring(F.col(text), a["at"] + 1, x["start"] - a["at"]), x["name"]).alias("out"), x["end"].alias("at")),
+        lambda a: F.concat(a["out"], F.substring(F.col(text), a["at"] + 1, F.length(text))),
+    )
+    grown = lambda p, before: F.aggregate(F.filter("_s", lambda x: before(x, p)), F.lit(0), lambda a, x: a + F.length(x["name"]) - (x["end"] - x["start"]))
+    start = lambda m: m["start"] + grown(m["start"], lambda x, p: x["start"] < p)
+    end = lambda m: m["end"] + grown(m["end"], lambda x, p: x["start"] < p)
+    moved = F.transform(mentions, lambda m: m.withField("start", start(m)).withField("end", end(m)))
+    return both.withColumn("_m", moved).withColumn(text, built).withColumn(mentions, F.col("_m")).drop("_s", "_m")
+
+
+def first_pronouns(tokens: DataFrame, keep: list[str]) -> DataFrame:
+    """Only the first pronoun of each sentence."""
+    return tokens.withColumn("_r", F.row_number().over(Window.partitionBy(*keep).orderBy("start"))).where("_r = 1").drop("_r")
+
+
+def label_tables(ranked: DataFrame, own: DataFrame, most: int = 100) -> dict[str, DataFrame]:
+    """What weak labelling looks up: alias_qids and qid_aliases, the first `most` of each by score, and qid_own, the
+    entity's own aliases (qid, alias)."""
+    w = Window.partitionBy("qid").orderBy(F.desc("score"), "alias")
+    return {
+        "alias_qids": ranked.where(F.col("rank") <= most).select("alias", "qid", "rank"),
+        "qid_aliases": ranked.withColumn("r", F.row_number().over(w)).where(F.col("r") <= most).select("qid", "alias", F.col("r").alias("rank")),
+        "qid_own": own.select("qid", "alias").distinct().withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("alias"))).where(F.col("rank") <= most),
+    }

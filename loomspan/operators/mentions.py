@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomspan.functions.normal import link_title
+from loomspan.functions.normal import link_title, match_spans
 
 ANCHOR = r'(?s)<a\b([^>]*)>(.*?)</a>'
 
@@ -48,15 +48,8 @@ def with_titles(mentions: DataFrame) -> DataFrame:
 
 def sentences(pages: DataFrame, page_id: str, text: str, end: str = r"[.!?]+(?=\s|$)") -> DataFrame:
     """(page_id, sent, start, end): the sentences of each text with their places in it, blanks between left out."""
-    piece = F.regexp_extract_all(text, F.lit(rf"(?s)(\S.*?(?:{end}|$))"), F.lit(1))
-    walk = F.aggregate(
-        piece, F.struct(F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("done"), F.lit(1).alias("at")),
-        lambda a, s: F.struct(
-            F.concat(a["done"], F.array(F.struct((F.call_function("locate", s, F.col(text), a["at"]) - 1).alias("start"), (F.call_function("locate", s, F.col(text), a["at"]) - 1 + F.length(s)).alias("end")))).alias("done"),
-            (F.call_function("locate", s, F.col(text), a["at"]) + F.length(s)).alias("at"),
-        ),
-    )["done"]
-    return pages.select(page_id, F.posexplode(walk).alias("sent", "s")).select(page_id, "sent", "s.start", "s.end")
+    found = match_spans(text, rf"(?s)\S.*?(?:{end}|\Z)")
+    return pages.select(page_id, F.posexplode(found).alias("sent", "s")).select(page_id, "sent", "s.start", "s.end")
 
 
 def bucket_mentions(sents: DataFrame, mentions: DataFrame, page_id: str) -> DataFrame:
@@ -106,3 +99,36 @@ def keep_mentions(condition) -> Column:
 def sort_by_span(mentions: Column) -> Column:
     """Mentions as structs that begin with (start, end), in order."""
     return F.array_sort(mentions)
+
+
+def char_to_word(text: Column, at: Column) -> Column:
+    """The number of the whitespace-separated word that begins at, or after, a character offset."""
+    return F.size(F.filter(F.split(F.substring(text, F.lit(1), at), r"\s+"), lambda w: w != ""))
+
+
+def find_in_order(text: Column, aliases: Column) -> Column:
+    """array<struct<alias, start, end>>, in words: each alias in turn at its first place in the text that no earlier one
+    took, punctuation blanked; start null where it isn't found."""
+    blank = lambda c: F.regexp_replace(F.regexp_replace(c, r"\p{Punct}", " "), r"\s+", " ")
+    padded = F.concat(F.lit(" "), F.trim(blank(text)), F.lit(" "))
+    kind = "array<struct<alias:string,start:int,end:int>>"
+
+    def step(a, alias):
+        name = F.trim(blank(alias))
+        at = F.call_function("locate", F.concat(F.lit(" "), name, F.lit(" ")), a["left"])
+        found = (at > 0) & (name != "")
+        words = F.size(F.split(name, " "))
+        start = F.size(F.split(F.substring(a["left"], F.lit(1), at), " ")) - 2
+        mask = F.array_join(F.array_repeat(F.lit("|"), words), " ")
+        left = F.concat(F.substring(a["left"], F.lit(1), at), mask, F.substring(a["left"], at + F.length(name) + 1, F.length(a["left"])))
+        hit = F.struct(alias.alias("alias"), F.when(found, start).cast("int").alias("start"), F.when(found, start + words).cast("int").alias("end"))
+        return F.struct(F.concat(a["done"], F.array(hit)).alias("done"), F.when(found, left).otherwise(a["left"]).alias("left"))
+
+    return F.aggregate(aliases, F.struct(F.expr(f"cast(array() as {kind})").alias("done"), padded.alias("left")), step)["done"]
+
+
+def renamed_by_document(mentions: DataFrame, doc: str, order: list[str]) -> DataFrame:
+    """mentions with alias `alias_{doc}_{i}`, i from 0 in the order given; documents are named by their leading number."""
+    name = F.coalesce(F.nullif(F.regexp_extract(doc, r"^(\d+)", 1), F.lit("")), F.col(doc).cast("string"))
+    i = F.row_number().over(Window.partitionBy(doc).orderBy(*order)) - 1
+    return mentions.withColumn("alias", F.concat_ws("_", F.lit("alias"), name, i))

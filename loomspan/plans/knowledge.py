@@ -312,8 +312,8 @@ def ag16_vote_prune(t):
 
 
 def _grams(t) -> DataFrame:
-    g = L.candidate_grams(t.sentences.where("sentence is not null"), ["sent_idx_unq"], "sentence", 3)
-    return g.withColumn("alias", fold_alias(F.regexp_replace("gram", r"\p{Punct}", ""))).join(cands(t).select("alias").distinct(), "alias", "left_semi")
+    known = cands(t).select(N.lnrm("alias").alias("alias")).where("alias != ''").distinct()
+    return L.candidate_grams(t.sentences, ["sent_idx_unq"], "sentence", 3).join(known, "alias", "left_semi")
 
 
 @query()

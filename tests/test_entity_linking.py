@@ -148,8 +148,9 @@ def test_greedy_spans(spark):
 
 def test_grams(spark):
     df = spark.createDataFrame([(1, "The big Dog of Ann!"), (2, ""), (3, None), (4, "... the")], "id int, s string")
-    got = {(r.id, r.gram) for r in L.candidate_grams(df, ["id"], "s", 3).collect()}
-    assert {"big", "Dog", "Ann!", "big Dog", "Dog of Ann!"} <= {g for _, g in got} and not any(i > 1 for i, _ in got) and (1, "of Ann!") not in got
+    got = {(r.id, r.alias, r.start, r.end) for r in L.candidate_grams(df, ["id"], "s", 3).collect()}
+    assert {(1, "big", 4, 7), (1, "dog", 8, 11), (1, "ann", 15, 19), (1, "big dog", 4, 11), (1, "dog of ann", 8, 19)} <= got
+    assert not any(i > 1 for i, *_ in got) and not any(a in ("of", "of ann", "the") for _, a, *_ in got)
 
 
 def test_proper_phrases(spark):
@@ -309,3 +310,41 @@ def test_stream(spark, sf_dir, tmp_path):
     one = spark.readStream.schema(batch.schema).parquet(str(tmp_path / "in"))
     windows = counters.run_to_end(counters.windowed_counts(one), "windowed", "update", str(tmp_path / "c2"))
     assert windows.agg(F.sum("n")).first()[0] == batch.where("seen_at is not null").count()
+
+
+def test_find_in_order(spark):
+    rows = [("Ann Lee met Ann, and Lee-Ann.", ["Ann", "ann", "Ann", "Lee", "Ann Lee", "Lee-Ann", "!"]), ("", ["a"]), ("a a a", ["a a", "a", "a"])]
+    got = spark.createDataFrame(rows, "s string, a array<string>").select(M.find_in_order(F.col("s"), F.col("a")).alias("m")).collect()
+    assert [(m.start, m.end) for m in got[0].m] == [(0, 1), (None, None), (3, 4), (1, 2), (None, None), (5, 7), (None, None)]
+    assert [(m.start, m.end) for m in got[1].m] == [(None, None)]
+    assert [(m.start, m.end) for m in got[2].m] == [(0, 2), (2, 3), (None, None)]
+
+
+def test_swapped_pronouns(spark):
+    rng = random.Random(6)
+    sents, swaps, want = [], [], {}
+    for i in range(40):
+        text = "".join(rng.choice("abc ") for _ in range(30))
+        marks = sorted({(a, a + rng.randrange(1, 4)) for a in rng.sample(range(0, 26, 5), 4)})
+        own = [m for m in marks if rng.random() < 0.5]
+        names = {m: rng.choice(["X", "Long Name", "Ann 's"]) for m in own}
+        out, at, moved = "", 0, []
+        for m in marks:
+            out += text[at : m[0]]
+            moved.append((len(out), len(out) + len(names.get(m, text[m[0] : m[1]]))))
+            out += names.get(m, text[m[0] : m[1]])
+            at = m[1]
+        want[i] = (out + text[at:], moved)
+        sents.append((i, text, [(a, b, "x") for a, b in marks]))
+        swaps += [(i, a, b, n) for (a, b), n in names.items()]
+    df = spark.createDataFrame(sents, "id int, s string, ms array<struct<start:int,end:int,alias:string>>")
+    got = L.swap_pronouns(df, spark.createDataFrame(swaps, "id int, start int, end int, name string"), "id", "s", "ms").collect()
+    assert {r.id: (r.s, [(m.start, m.end) for m in r.ms]) for r in got} == want
+
+
+def test_contextual_scores(spark):
+    cand = spark.createDataFrame([("m", "ann lee", "Q1", "Ann Lee", 3), ("m", "ann lee", "Q2", "Other", 9), ("m", "ann lee", "Q3", None, 1)], "mention string, alias string, qid string, title string, prior long")
+    hits = spark.createDataFrame([("m", "Q2", 2)], "mention string, qid string, hits long")
+    got = {r.qid: r.context for r in B.contextual_scores(cand, hits).collect()}
+    assert got["Q1"] > got["Q2"] > got["Q3"] == 1
+    assert [r.split for r in B.split_by_start(spark.range(4), "id", {"train": 0, "dev": 2, "test": 3}).orderBy("id").collect()] == ["train", "train", "dev", "test"]
