@@ -171,11 +171,11 @@ class Mixture:
         self.sample = scratch.save(chosen.select("id", "source", "tokens", F.least(F.col("whole") + extra, F.col("cap").cast("int")).alias("copies")).where("copies > 0"))
         have = sized.groupBy("source").agg(F.sum("tokens").alias("tokens_available"), F.count("*").alias("documents"))
         took = self.sample.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("tokens_drawn"), F.max("copies").alias("most_copies"))
-        all_ = took.agg(F.sum("tokens_drawn").alias("all_drawn"))
+        drawn_all = float(took.agg(F.sum("tokens_drawn")).first()[0] or 0)
         wanted = spark.createDataFrame([(g.source, g.share, g.cap, float(share[i])) for i, g in enumerate(goals)], "source string, target_share double, max_repeats double, share_wanted double")
-        report = have.join(wanted, "source", "full").join(took, "source", "left").crossJoin(F.broadcast(all_))  # all_ is one row
+        report = have.join(wanted, "source", "full").join(took, "source", "left")
         zero = lambda c: F.coalesce(c, F.lit(0))
         self.report = report.select(
             "source", "target_share", "max_repeats", zero("documents").alias("documents"), zero("tokens_available").alias("tokens_available"), zero("tokens_drawn").alias("tokens_drawn"),
-            zero("most_copies").alias("most_copies"), zero("share_wanted").alias("share_wanted"), F.when(F.col("all_drawn") > 0, zero("tokens_drawn") / F.col("all_drawn")).otherwise(0.0).alias("share_reached"),
+            zero("most_copies").alias("most_copies"), zero("share_wanted").alias("share_wanted"), (zero("tokens_drawn") / F.lit(max(drawn_all, 1.0))).alias("share_reached"),
         )
