@@ -26,10 +26,9 @@ def recall(judgements: DataFrame, by: list[str]) -> DataFrame:
 
 def recall_at(ranked_golds: DataFrame, cuts: list[int]) -> DataFrame:
     """(k, hits, total, recall) of golds with the rank of the right candidate, null if there is none."""
-    spark = ranked_golds.sparkSession
-    counts = ranked_golds.groupBy("rank").agg(F.count("*").alias("n"))
-    grid = F.broadcast(spark.createDataFrame([(k,) for k in cuts], "k int"))  # the cuts asked for
-    summed = counts.join(grid, F.lit(True)).groupBy("k").agg(F.sum(F.when(F.col("rank") <= F.col("k"), F.col("n")).otherwise(0)).alias("hits"), F.sum("n").alias("total"))
+    counts = ranked_golds.groupBy("rank").agg(F.count("*").alias("n"))  # a row per rank
+    each = counts.select("rank", "n", F.explode(F.array(*map(F.lit, cuts))).alias("k"))
+    summed = each.groupBy("k").agg(F.sum(F.when(F.col("rank") <= F.col("k"), F.col("n")).otherwise(0)).alias("hits"), F.sum("n").alias("total"))
     return summed.withColumn("recall", F.col("hits") / F.col("total"))
 
 

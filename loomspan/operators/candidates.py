@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def alias_title_counts(mentions: DataFrame, alias: Column, title: str = "title") -> DataFrame:
-    """(alias, title, cnt) over mentions with a title and an alias that isn't empty once normalised."""
-    return mentions.select(alias.alias("alias"), F.col(title).alias("title")).where("length(alias) > 0 and title is not null").groupBy("alias", "title").agg(F.count("*").alias("cnt"))
+def alias_title_counts(mentions: DataFrame, normal, alias: str = "alias", title: str = "title") -> DataFrame:
+    """(alias, title, cnt) over mentions with a title and an alias that isn't empty once normalised by normal(name).
+
+    Equal pairs are counted before they are normalised, as that may take Python."""
+    raw = mentions.where(F.col(title).isNotNull() & F.col(alias).isNotNull()).groupBy(F.col(alias).alias("alias"), F.col(title).alias("title")).agg(F.count("*").alias("n"))
+    return raw.select(normal("alias").alias("alias"), "title", "n").groupBy("alias", "title").agg(F.sum("n").alias("cnt")).where("length(alias) > 0")
 
 
 def min_support(counts: DataFrame, least: int, cnt: str = "cnt") -> DataFrame:

@@ -101,14 +101,14 @@ def balanced_join(left: DataFrame, right: DataFrame, key: str, plan: Plan, how:
 
 
 def lookup(left: DataFrame, right: DataFrame, on: str, rows: int | None = None, share: int = 256) -> DataFrame:
-    """Left join with a table of one row per key. Keys that hold over 1/share of left's rows, fewer than `share` of
-    them, are looked up by broadcast, so that no task gets all rows of one key. rows: left has no more than so many; up
+    """Left join with a table of one row per key. The keys with most of left's rows, at most `share` of
+    them, are looked up by broadcast, so that no task gets more than 1/share of all rows for one key. rows: left has no more than so many; up
     to a million, all of one key would still be a small task, and a plain join does."""
     if rows is not None and rows <= 1_000_000:
         return left.join(right, on, "left")
     counts = left.where(F.col(on).isNotNull()).groupBy(on).count()
-    total = counts.agg(F.sum("count").alias("_all"))
-    heavy = counts.join(F.broadcast(total), F.col("count") > F.greatest(F.col("_all") / share, F.lit(10_000))).select(on)
+    # keys above 1/share of all rows are among the first `share` by count
+    heavy = counts.where(F.col("count") > 10_000).orderBy(F.desc("count"), on).limit(share).select(on)
     hot = right.join(F.broadcast(heavy), on, "left_semi")
     marked = left.join(F.broadcast(heavy.withColumn("_hot", F.lit(True))), on, "left")
     return marked.where("_hot").drop("_hot").join(F.broadcast(hot), on, "left").unionByName(marked.where("_hot is null").drop("_hot").join(right, on, "left"))

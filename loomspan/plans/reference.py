@@ -158,7 +158,7 @@ def fl02_rel_value(t):
 @query(f"select alias, title, count(*) as cnt from (select {FOLD.format('v')} as alias, w as title from (select unnest(aliases) as v, unnest(titles) as w from sentences)) where alias <> '' and title is not null group by all having count(*) >= 4")
 def fl05_min_support(t):
     """(alias, title) pairs that stand at least 4 times (ag01, fl06)."""
-    return C.min_support(C.alias_title_counts(mentions(t), fold_alias("alias")), 4)
+    return C.min_support(C.alias_title_counts(mentions(t), fold_alias), 4)
 
 
 _CASCADE = f"""{ONE}, {TITLES},
@@ -389,7 +389,7 @@ def j21_token_starts(t):
 @query(f"select alias, title, count(*) as cnt from (select {LNRM.format('v')} as alias, w as title from (select unnest(aliases) as v, unnest(titles) as w from sentences)) where alias <> '' and title is not null group by all")
 def ag01_alias_title_count(t):
     """(alias, title) counts of the normalised aliases."""
-    return C.alias_title_counts(mentions(t), N.lnrm("alias"))
+    return C.alias_title_counts(mentions(t), N.lnrm)
 
 
 _SUPPORT = f"""{TITLES}, k as (select {FOLD.format('v')} as alias, w as title, count(*) as cnt from (select unnest(aliases) as v, unnest(titles) as w from sentences) where v is not null and w is not null group by all having count(*) >= 2),
@@ -398,7 +398,7 @@ _SUPPORT = f"""{TITLES}, k as (select {FOLD.format('v')} as alias, w as title, c
 
 
 def supported(t) -> DataFrame:
-    counts = C.min_support(C.alias_title_counts(mentions(t), fold_alias("alias")), 2)
+    counts = C.min_support(C.alias_title_counts(mentions(t), fold_alias), 2)
     three = F.array("title", "wikidata_title", "wikipedia_title")
     own = t.title_map.where(KNOWN).select("qid", F.explode(three).alias("x")).where("x is not null").select(fold_alias("x").alias("alias"), "qid").where("alias != ''").distinct()
     return C.title_support(counts, titles(t), own)
