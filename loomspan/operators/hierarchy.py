@@ -32,7 +32,7 @@ def hierarchy(links: DataFrame, *, scope: str, child: str, parent: str, scratch:
     child with several parents hangs below the smallest (`other_links` gives the rest); repeated links count once; a
     link to itself is a circle. Links with nulls are left out; no links, no rows.
     """
-    edges = primary_links(links, scope, child, parent)
+    edges = scratch.save(primary_links(links, scope, child, parent))
     # one key for scope and node, as all joins need both
     ident = lambda c: F.struct(F.col("scope").alias("s"), F.col(c).alias("n"))
     tops = edges.select("scope", F.col("parent").alias("child")).distinct().join(edges.select("scope", "child"), ["scope", "child"], "left_anti")
