@@ -275,18 +275,27 @@ def wn05_conflict_alias(t):
     from a left join near own on own.alias = a.alias and own.qid = a.qid and own.n > 1 left join best on best.qid = a.qid
     where a.qid is null or own.alias is not null or best.best is not null or a.qid not in (select qid from near)""")
 def wn04_choose_alias(t):
-    """Mentions with a more ambiguous alias, where the choice isn't by hash."""
+    """Mentions with a more ambiguous alias, where the choice isn't by hash: what SQL can tell. wn04_choose_alias_all has all."""
     r = C.ranked(cands(t)).select("alias", "qid", "rank")
-    m = mentions(t).where("alias is not null").select(F.struct("sent_idx_unq", "pos").alias("id"), fold_alias("alias").alias("alias"), "qid")
     size = r.groupBy("alias").agg(F.count("*").alias("n"))
     near = r.where("rank <= 30").join(size, "alias")
     lone = near.select("qid").distinct().join(near.where("n > 1").select("qid").distinct(), "qid", "left_anti")
-    out = L.choose_aliases(m, r, 30)
     own = near.where("n > 1").select("alias", "qid", F.lit(1).alias("own"))
-    out = out.join(lone.withColumn("lone", F.lit(1)), "qid", "left").join(own, ["alias", "qid"], "left").where("lone is null or own is not null")
+    out = _chosen(t, r).join(lone.withColumn("lone", F.lit(1)), "qid", "left").join(own, ["alias", "qid"], "left").where("lone is null or own is not null")
     return out.select("id.sent_idx_unq", "id.pos", "new_alias")
 
 
+def _chosen(t, r: DataFrame) -> DataFrame:
+    m = mentions(t).where("alias is not null").select(F.struct("sent_idx_unq", "pos").alias("id"), fold_alias("alias").alias("alias"), "qid")
+    return L.choose_aliases(m, r, 30)
+
+
+@query()
+def wn04_choose_alias_all(t):
+    """Every mention with its more ambiguous alias, also where the choice is by hash; tested against a loop."""
+    return _chosen(t, C.ranked(cands(t)).select("alias", "qid", "rank")).select("id.sent_idx_unq", "id.pos", "new_alias")
+
+
 _VOTES = f"""qa as (select distinct alias, qid from candidate where alias is not null and qid is not null), {ONE},
     lm as (select parent_title as doc, parent_qid as doc_qid, qid from m where parent_title is not null and parent_qid is not null),
     cast_ as (select doc, doc_qid, qa.alias, lm.qid from lm join qa on qa.qid = lm.qid union all select distinct doc, doc_qid, qa.alias, doc_qid from lm join qa on qa.qid = lm.doc_qid),

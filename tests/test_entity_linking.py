@@ -348,3 +348,50 @@ def test_contextual_scores(spark):
     got = {r.qid: r.context for r in B.contextual_scores(cand, hits).collect()}
     assert got["Q1"] > got["Q2"] > got["Q3"] == 1
     assert [r.split for r in B.split_by_start(spark.range(4), "id", {"train": 0, "dev": 2, "test": 3}).orderBy("id").collect()] == ["train", "train", "dev", "test"]
+
+
+def tables(spark, path, **rows):
+    """A folder of small tables: name=(rows, schema)."""
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+SENTENCES = "sent_idx_unq long, parent_qid string, parent_title string, sentence string, split string, source string, aliases array<string>, titles array<string>, qids array<string>, char_spans array<array<int>>, gold array<boolean>, sources array<string>, unswap_aliases array<string>"
+
+
+def sentence(i, aliases=None, qids=None, text=None, page=None):
+    return (i, page, None, text, "train", "x", aliases, None, qids, None, None, None, None)
+
+
+def test_chosen_aliases_all(spark, tmp_path):
+    """Every mention has a row, also those whose new alias is picked by hash; against a loop."""
+    from loomspan.plans import knowledge
+
+    cand = [("both", "Q1", 9), ("both", "Q2", 5), ("one a", "Q3", 1), ("one b", "Q3", 7), ("one c", "Q4", 2), ("big", "Q1", 1), ("big", "Q2", 1), ("big", "Q5", 1)]
+    cand += [("crowd", f"C{i}", 100 - i) for i in range(31)] + [("crowd alone", "C30", 1)]
+    asked = [("both", "Q1"), ("x", "Q2"), ("One A", "Q3"), ("y", "Q3"), ("one c", "Q4"), ("z", "Q4"), ("both", "Q3"), ("crowd", "C30"), ("crowd", "C5"), ("w", "Q99"), ("v", None), (None, "Q1")]
+    sents = [sentence(i, [a for a, _ in asked], [q for _, q in asked]) for i in range(5)]
+    path = tables(spark, tmp_path, candidate=(cand, "alias string, qid string, score long"), sentences=(sents, SENTENCES))
+    got = {(r.sent_idx_unq, r.pos): r.new_alias for r in knowledge.queries()["wn04_choose_alias_all"](spark, path).collect()}
+
+    lists: dict = {}
+    for a, q, _ in sorted(cand, key=lambda x: (x[2], x[1]), reverse=True):
+        lists.setdefault(a, []).append(q)
+    ids = spark.createDataFrame([((i, k), q) for i in range(5) for k, (_, q) in enumerate(asked)], "id struct<a:long,b:int>, qid string")
+    hashes = {tuple(r.id): r.h for r in ids.select("id", F.xxhash64("id", "qid").alias("h")).collect()}
+    want = {}
+    for i in range(5):
+        for k, (a, q) in enumerate(asked):
+            if a is None:
+                continue
+            a = a.lower()
+            near = sorted(x for x, c in lists.items() if q in c[:30])
+            many = [x for x in near if len(lists[x]) > 1]
+            if q is None or a in many:
+                want[i, k] = a
+            elif many:
+                want[i, k] = max(many, key=lambda x: (len(lists[x]), x))
+            else:
+                want[i, k] = near[hashes[i, k] % len(near)] if near else a
+    assert got == want and len(got) == 55 and {got[i, 3] for i in range(5)} == {"one a", "one b"} and got[0, 7] == "crowd alone"
