@@ -26,6 +26,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 STEPS = 4096
 MAX_SOURCES = 1000
 MAX_CELLS = 2_000_000
+#: More cells than these are joined without a broadcast.
+MOST_SENT = 100_000
 _encoders: dict[str, object] = {}
 
 
@@ -66,32 +68,51 @@ class Fit:
     worst: dict[str, float] = field(default_factory=dict)
 
 
-def rake(tokens: np.ndarray, targets: list[np.ndarray], cap: np.ndarray, total: float, rounds: int = 200, close: float = 1e-6) -> Fit:
-    """Fit weights of a table tokens[source, language, topic] to one target share vector per axis.
+def filled(copies: np.ndarray, tokens: np.ndarray, cap: float, goal: float, plain: float) -> float:
+    """The factor by which copies, none then over the cap, give the goal in tokens; plain is the one without a cap. If the
+    goal can't be met, the one that brings all to the cap."""
+    if not len(copies) or copies.max() * plain <= cap:
+        return plain
+    order = np.argsort(-copies)
+    c, t = copies[order], tokens[order]
+    rest = np.cumsum((c * t)[::-1])[::-1]
+    factor = np.divide(goal - cap * (np.cumsum(t) - t), rest, out=np.zeros(len(c)), where=rest > 0)
+    fits = (factor * c <= cap) & (rest > 0)
+    return max(float(factor[fits.argmax()]), 0.0) if fits.any() else cap / max(c[c > 0].min(initial=np.inf), 1e-300)
+
+
+def rake_cells(tokens: np.ndarray, places: list[np.ndarray], targets: list[np.ndarray], cap: np.ndarray, total: float, rounds: int = 200, close: float = 1e-6) -> Fit:
+    """Fit weights of cells to one target share vector per axis: source, language, topic. places[axis] has each cell's
+    value on that axis; values number as the targets do.
 
     cap[source]: most copies of a record. Axes are fitted in turn, the source last, so that its shares are the ones that
     hold where not all can. Cells at their cap stay there; the rest of the source takes up what they can't.
     """
-    copies = np.ones_like(tokens, float)
-    limit = np.broadcast_to(cap[:, None, None], tokens.shape)
+    copies = np.ones(len(tokens))
+    limit = cap[places[0]]
+    sums = lambda axis: np.bincount(places[axis], copies * tokens, len(targets[axis]))
+    of = np.split(np.argsort(places[0], kind="stable"), np.cumsum(np.bincount(places[0], minlength=len(cap)))[:-1])
     fit = Fit(copies, total, 0)
     for fit.rounds in range(1, rounds + 1):
-        before = copies.copy()
+        before = copies
         for axis in (1, 2, 0):
-            rest = tuple(a for a in range(3) if a != axis)
-            shape = [1, 1, 1]
-            shape[axis] = -1
-            for _ in range(8 if axis == 0 else 1):
-                now = (copies * tokens).sum(rest)
-                factor = np.divide(targets[axis] * total, now, out=np.zeros_like(now), where=now > 0)
-                copies = np.minimum(copies * factor.reshape(shape), limit)
+            now = sums(axis)
+            factor = np.divide(targets[axis] * total, now, out=np.zeros(len(now)), where=now > 0)
+            if axis == 0:
+                factor = np.array([filled(copies[at], tokens[at], c, goal * total, f) for at, c, goal, f in zip(of, cap, targets[0], factor, strict=True)])
+            copies = np.minimum(copies * factor[places[axis]], limit)
         if np.abs(copies - before).max(initial=0) < close:
             break
     fit.copies = copies
     for name, axis in (("source", 0), ("language", 1), ("topic", 2)):
-        rest = tuple(a for a in range(3) if a != axis)
-        now = (copies * tokens).sum(rest) / max(total, 1e-9)
-        fit.worst[name] = float(np.abs(now - targets[axis]).max(initial=0))
+        fit.worst[name] = float(np.abs(sums(axis) / max(total, 1e-9) - targets[axis]).max(initial=0))
+    return fit
+
+
+def rake(tokens: np.ndarray, targets: list[np.ndarray], cap: np.ndarray, total: float, rounds: int = 200, close: float = 1e-6) -> Fit:
+    """rake_cells of a whole table tokens[source, language, topic]."""
+    fit = rake_cells(tokens.ravel(), [x.ravel() for x in np.indices(tokens.shape)], targets, cap, total, rounds, close)
+    fit.copies = fit.copies.reshape(tokens.shape)
     return fit
 
 
@@ -106,16 +127,17 @@ class Mixture:
     Documents with `tokens` in place of `text` are measured already (token_counts).
 
     Names count trimmed and lower-cased. Documents of null or unlisted sources aren't drawn; null languages and topics
-    are values of their own, and beyond the `most` most frequent ones count as one, so that the table of cells, which
-    the driver holds, is bounded. Shares of sources without tokens are spread over the others. `total`: tokens wanted;
+    are values of their own. Every language and topic is raked to its own marginal, its share of the known sources'
+    tokens. The driver holds the cells that aren't empty; over MAX_CELLS of them are an error. Shares of sources without tokens are spread over the others. `total`: tokens wanted;
     by default the largest of which every source can give its share. max_repeats counts whole copies; null means 1.
     Repeated target rows count once, the largest share. Documents of no tokens are drawn like any other of their cell.
 
     `sample` has (id, source, tokens, copies) of the documents drawn; `report` a row per source named by targets or
-    documents with the tokens available and drawn, the share wanted and reached.
+    documents with the tokens available and drawn, the share wanted and reached; `marginals` the same per language and
+    topic of the listed sources.
     """
 
-    def __init__(self, documents: DataFrame, targets: DataFrame, scratch: Scratch, *, total: float | None = None, tokenizer: str = TOKENIZER, most: int = 32) -> None:
+    def __init__(self, documents: DataFrame, targets: DataFrame, scratch: Scratch, *, total: float | None = None, tokenizer: str = TOKENIZER) -> None:
         spark = documents.sparkSession
         name = lambda c: F.lower(blank_to_null(c))
         measured = "text" not in documents.columns
@@ -126,34 +148,29 @@ class Mixture:
             raise ValueError("too many sources for one mixture")
         sources = [g.source for g in goals]
         known = sized.where(F.col("source").isin(sources)) if sources else sized.limit(0)
-        top = {}
-        for c in ("lang", "topic"):
-            top[c] = [r[0] for r in known.groupBy(c).agg(F.sum("tokens").alias("t")).orderBy(F.desc("t"), c).limit(most).collect()]
-            known = known.withColumn(c, F.when(F.col(c).isin(top[c]), F.col(c)).otherwise(F.lit("\0")) if top[c] else F.lit("\0"))
-            top[c].append("\0")
-        axes = [sources, top["lang"], top["topic"]]
-        if len(sources) * len(axes[1]) * len(axes[2]) > MAX_CELLS:
-            raise ValueError("too many cells: lower `most`")
-        place = [{x: i for i, x in enumerate(a)} for a in axes]
-        tokens = np.zeros([max(1, len(a)) for a in axes])
-        for r in known.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("t")).collect():  # a row per cell
-            tokens[place[0][r.source], place[1][r.lang], place[2][r.topic]] = r.t
+        found = known.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("t")).limit(MAX_CELLS + 1).toArrow()  # a row per cell
+        if found.num_rows > MAX_CELLS:
+            raise ValueError("too many cells for one mixture")
+        found = found.sort_by([(c, "ascending") for c in ("source", "lang", "topic")])
+        tokens = found["t"].to_numpy().astype(float)
+        coded = {c: found[c].combine_chunks().dictionary_encode() for c in ("lang", "topic")}
+        number = {x: i for i, x in enumerate(sources)}
+        places = [np.array([number[x] for x in found["source"].to_pylist()], int), *(x.indices.to_numpy() for x in coded.values())]
+        sums = lambda axis, n: np.bincount(places[axis], tokens, n)
         cap = np.array([np.floor(1.0 if g.cap is None else max(g.cap, 0)) for g in goals] or [0.0])
         share = np.array([max(g.share or 0.0, 0.0) for g in goals] or [0.0])
-        size = tokens.sum((1, 2))
+        size = sums(0, len(cap))
         share = np.where((size > 0) & (cap > 0), share, 0)
         share = share / share.sum() if share.sum() else share
         total = largest_total(size, share, cap) if total is None else total
-        natural = [tokens.sum(tuple(a for a in range(3) if a != axis)) / max(tokens.sum(), 1) for axis in (1, 2)]
-        self.fit = rake(tokens, [share, *natural], cap, total)
-        cells = spark.createDataFrame(
-            [(axes[0][i], axes[1][j], axes[2][k], float(self.fit.copies[i, j, k]), float(cap[i])) for i, j, k in zip(*np.nonzero(tokens), strict=True)],
-            "source string, lang string, topic string, want double, cap double",
-        )
-        drawn = known.join(F.broadcast(cells), ["source", "lang", "topic"])
+        natural = [sums(axis, len(x.dictionary)) / max(tokens.sum(), 1) for axis, x in enumerate(coded.values(), 1)]
+        self.fit = rake_cells(tokens, places, [share, *natural], cap, total)
+        wants = pa.table({"source": found["source"], "lang": found["lang"], "topic": found["topic"], "want": self.fit.copies, "cap": cap[places[0]]}).filter(pa.array(tokens > 0))
+        cells = spark.createDataFrame(wants)
+        drawn = known.join(F.broadcast(cells) if wants.num_rows <= MOST_SENT else cells, ["source", "lang", "topic"])
         whole, u = F.floor("want"), (F.xxhash64("id").bitwiseAND((1 << 52) - 1)) / F.lit(float(1 << 52))
         part = F.col("want") - whole
-        drawn = drawn.select("id", "source", "tokens", whole.cast("int").alias("whole"), "cap", F.when(part > 0, u / part).alias("ratio"))
+        drawn = drawn.select("id", "source", "lang", "topic", "tokens", whole.cast("int").alias("whole"), "cap", F.when(part > 0, u / part).alias("ratio"))
         # the ratio up to which a source is drawn, 1 by expectation, moved to where the histogram meets the target
         steps = drawn.groupBy("source", F.least(F.ceil(F.col("ratio") * STEPS), F.lit(4 * STEPS)).alias("step")).agg(F.sum("tokens").alias("t"), F.sum(F.col("tokens") * F.col("whole")).alias("base")).collect()
         at = {s: i for i, s in enumerate(sources)}
@@ -168,7 +185,8 @@ class Mixture:
         limit = spark.createDataFrame(limits, "source string, upto double")
         chosen = drawn.join(F.broadcast(limit), "source")
         extra = F.when(F.col("ratio") <= F.col("upto"), 1).otherwise(0)
-        self.sample = scratch.save(chosen.select("id", "source", "tokens", F.least(F.col("whole") + extra, F.col("cap").cast("int")).alias("copies")).where("copies > 0"))
+        placed = scratch.save(chosen.select("id", "source", "lang", "topic", "tokens", F.least(F.col("whole") + extra, F.col("cap").cast("int")).alias("copies")).where("copies > 0"))
+        self.sample = placed.select("id", "source", "tokens", "copies")
         have = sized.groupBy("source").agg(F.sum("tokens").alias("tokens_available"), F.count("*").alias("documents"))
         took = self.sample.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("tokens_drawn"), F.max("copies").alias("most_copies"))
         drawn_all = float(took.agg(F.sum("tokens_drawn")).first()[0] or 0)
@@ -179,3 +197,10 @@ class Mixture:
             "source", "target_share", "max_repeats", zero("documents").alias("documents"), zero("tokens_available").alias("tokens_available"), zero("tokens_drawn").alias("tokens_drawn"),
             zero("most_copies").alias("most_copies"), zero("share_wanted").alias("share_wanted"), (zero("tokens_drawn") / F.lit(max(drawn_all, 1.0))).alias("share_reached"),
         )
+        each = lambda rows: rows.select("tokens", *([] if rows is known else ["copies"]), F.explode(F.array(*(F.struct(F.lit(a).alias("axis"), F.col(c).alias("value")) for a, c in (("language", "lang"), ("topic", "topic"))))).alias("x")).select("x.*", "*")
+        there = each(known).groupBy("axis", "value").agg(F.sum("tokens").alias("tokens_available"))
+        reached = each(placed).groupBy("axis", "value").agg(F.sum(F.col("tokens") * F.col("copies")).alias("tokens_drawn"))
+        self.marginals = there.join(reached, ["axis", "value"], "left").select(
+            "axis", F.nullif("value", F.lit("")).alias("value"), "tokens_available", zero("tokens_drawn").alias("tokens_drawn"),
+            (F.col("tokens_available") / F.lit(max(float(tokens.sum()), 1.0))).alias("share_wanted"), (zero("tokens_drawn") / F.lit(max(drawn_all, 1.0))).alias("share_reached"),
+        )

@@ -129,6 +129,11 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d).report
 
 
+def p9_marginals(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of the languages and topics wanted and reached, in tokens."""
+    return _mixture(spark, d).marginals
+
+
 def p9_sample(spark: SparkSession, d: str) -> DataFrame:
     """The documents drawn, with their copies."""
     return _mixture(spark, d).sample
@@ -156,7 +161,7 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict:
     return {
         f.__name__: f
-        for f in (p3_found, p3_counts, p3_approximate, p6_found, p6_report, p7_found, p7_splits, p8_found, p8_report, p8_removed, p9_shares, p9_sample, p10_found, p10_shares)
+        for f in (p3_found, p3_counts, p3_approximate, p6_found, p6_report, p7_found, p7_splits, p8_found, p8_report, p8_removed, p9_shares, p9_marginals, p9_sample, p10_found, p10_shares)
     }
 
 

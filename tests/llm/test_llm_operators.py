@@ -259,6 +259,26 @@ def test_mixture(spark, scratch):
         assert mixture.Mixture(docs0, goals, scratch).sample.count() == 0
 
 
+def test_mixture_many_topics(spark, scratch):
+    """Each of many topics keeps its share, although the sources that have most of it are drawn unalike."""
+    docs = [(i, "a" if (i // 60) % 10 < (8 if i % 2 else 2) else "b", "en", f"t{i % 60:02}", 10) for i in range(12000)]
+    d = spark.createDataFrame(docs, "id long, source string, lang string, topic string, tokens long")
+    t = spark.createDataFrame([("a", 0.1, 1.0), ("b", 0.9, 3.0)], "source string, target_share double, max_repeats double")
+    m = mixture.Mixture(d, t, scratch, total=36000.0)
+    assert len(m.fit.copies) == 120 and max(m.fit.worst.values()) < 1e-3
+    topic = {r[0]: r[3] for r in docs}
+    drawn = Counter()
+    for r in m.sample.collect():
+        drawn[topic[r.id]] += r.tokens * r.copies
+    # of the topics by name, the even ones are mostly of source b, which is drawn nine times as much
+    assert abs(sum(drawn[f"t{k:02}"] for k in range(0, 60, 2)) / drawn.total() - 0.5) < 0.04
+    got = {(r.axis, r.value): r for r in m.marginals.collect()}
+    assert set(got) == {("language", "en")} | {("topic", x) for x in topic.values()}
+    for (axis, x), r in got.items():
+        assert r.tokens_drawn == (drawn[x] if axis == "topic" else drawn.total()) and abs(r.share_wanted - (1 / 60 if axis == "topic" else 1)) < 1e-9
+        assert abs(r.share_reached - r.tokens_drawn / drawn.total()) < 1e-9
+
+
 # shared spans
 
 
