@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from loomspan.functions.normal import partial_ratio
 
+#: Query names and concept names that meet in one call of the tf-idf join, and the scores it holds at a time.
+NAMES_AT_ONCE, CONCEPTS_AT_ONCE, SCORES_AT_ONCE = 4096, 20_000, 4_000_000
+
 
 def judged(golds: DataFrame, candidates: DataFrame) -> DataFrame:
     """golds (.., alias, qid) with `outcome`: `no_alias`, `no_candidate` (the alias lacks the qid) or `found`."""
@@ -94,24 +99,81 @@ def char_grams(df: DataFrame, keep: list[str], text: str, n: int) -> DataFrame:
     return df.select(*keep, F.explode(grams).alias("gram")).groupBy(*keep, "gram").agg(F.count("*").alias("tf"))
 
 
-def tfidf_candidates(queries: DataFrame, concepts: DataFrame, k: int, n: int = 3, top_grams: int = 8) -> DataFrame:
+def _nearest(k: int):
+    def run(queries: pa.Table, concepts: pa.Table) -> pa.Table:
+        """The k nearest qids of each alias, and those as near as the last of them. queries: alias, gram, w, rare, concepts: qid, name, gram, w."""
+        q, c = queries.sort_by([("alias", "ascending"), ("gram", "ascending")]).combine_chunks(), concepts.sort_by([(x, "ascending") for x in ("qid", "name", "gram")]).combine_chunks()
+        codes = {x: t[x].combine_chunks().dictionary_encode() for t, x in ((q, "alias"), (c, "qid"), (c, "name"))}
+        place = {x: v.indices.to_numpy() for x, v in codes.items()}
+        new = (np.diff(place["qid"], prepend=-1) != 0) | (np.diff(place["name"], prepend=-1) != 0)
+        unit, qid = np.cumsum(new) - 1, place["qid"][new]  # a unit is a name of a qid
+        n, units = len(codes["alias"].dictionary), len(qid)
+
+        def unit_length(w: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+            return w / np.sqrt(np.bincount(at, w * w, size))[at]
+
+        qw, cw = unit_length(q["w"].to_numpy(), place["alias"], n), unit_length(c["w"].to_numpy(), unit, units)
+        grams = pc.unique(q["gram"])
+        at = pc.index_in(q["gram"], grams).to_numpy()
+        order = np.argsort(at, kind="stable")
+        lists = np.split(order, np.cumsum(np.bincount(at, minlength=len(grams)))[:-1])
+        rare = q["rare"].to_numpy()
+        known = pc.fill_null(pc.index_in(c["gram"], grams), -1).to_numpy()
+        top, found, held = np.zeros((n, k)), [], None
+        step = max(1, SCORES_AT_ONCE // max(n, 1))
+        for low in range(0, units if n else 0, step):
+            high = min(low + step, units)
+            rows = np.arange(*np.searchsorted(unit, [low, high]))
+            rows = rows[known[rows] >= 0]
+            rows = rows[np.argsort(known[rows], kind="stable")]
+            scores, seen = np.zeros((n, high - low)), np.zeros((n, high - low), bool)
+            for r in np.split(rows, np.flatnonzero(np.diff(known[rows])) + 1) if len(rows) else []:
+                of = lists[known[r[0]]]
+                scores[np.ix_(place["alias"][of], unit[r] - low)] += np.outer(qw[of], cw[r])
+                seen[np.ix_(place["alias"][of[rare[of]]], unit[r] - low)] = True
+            scores[~seen] = 0
+            first = np.flatnonzero(np.diff(qid[low:high], prepend=-1))
+            ids, best = qid[low:high][first], np.maximum.reduceat(scores, first, axis=1)
+            if held:  # the last qid may go on in this slice
+                if ids[0] == held[0]:
+                    best[:, 0] = np.maximum(best[:, 0], held[1])
+                else:
+                    ids, best = np.append(held[0], ids), np.column_stack([held[1], best])
+            if high < units:
+                held, ids, best = (ids[-1], best[:, -1].copy()), ids[:-1], best[:, :-1]
+            top = np.partition(np.column_stack([top, best]), -k, axis=1)[:, -k:]
+            a, i = np.nonzero((best > 0) & (best >= top.min(1, keepdims=True)))
+            found.append((a, ids[i], best[a, i]))
+        a, i, s = (np.concatenate([x[j] for x in found] or [np.zeros(0)]) for j in range(3))
+        keep = s >= top.min(1, initial=np.inf)[a.astype(int)] if len(a) else np.zeros(0, bool)
+        pick = lambda name, x: codes[name].dictionary.take(pa.array(x[keep].astype(int), pa.int64()))
+        return pa.table({"alias": pick("alias", a), "qid": pick("qid", i), "similarity": pa.array(s[keep].astype(float))})
+
+    return run
+
+
+def tfidf_candidates(queries: DataFrame, concepts: DataFrame, k: int, n: int = 3, top_grams: int | None = None) -> DataFrame:
     """(alias, qid, similarity, rank): the k nearest concepts (alias, qid) of each distinct query alias by cosine of
-    tf-idf over character n-grams, the best of a concept's aliases. Only concepts that share one of the query's rarest
-    n-grams are scored, `top_grams` of them."""
-    docs = char_grams(concepts.select(F.col("alias").alias("name")).where("alias is not null").distinct(), ["name"], "name", n)
-    total = concepts.select("alias").distinct().count()
+    tf-idf over character n-grams, the best of a concept's aliases. All concepts that share an n-gram are scored; with
+    `top_grams` only those that share one of so many of the query's rarest, which may lose near ones.
+
+    Query names and concepts are cut into parts, and an Arrow function scores part against part."""
+    concepts = concepts.select(F.col("alias").alias("name"), "qid").where("name is not null and qid is not null").distinct()
+    docs = char_grams(concepts.select("name").distinct(), ["name"], "name", n)
+    total = concepts.select("name").distinct().count()
     idf = docs.groupBy("gram").agg((F.log(F.lit((1 + total) * 1.0) / (1 + F.count("*"))) + 1).alias("idf"))
-    dw = docs.join(idf, "gram").withColumn("w", F.col("tf") * F.col("idf"))
-    dn = dw.groupBy("name").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("dn"))
-    q = char_grams(queries.select("alias").where("alias is not null").distinct(), ["alias"], "alias", n).join(idf, "gram").withColumn("qw", F.col("tf") * F.col("idf"))
-    qn = q.groupBy("alias").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("qn"))
-    rare = q.withColumn("r", F.row_number().over(Window.partitionBy("alias").orderBy(F.desc("idf"), "gram"))).where(F.col("r") <= top_grams).select("alias", "gram")
-    near = rare.join(dw.select("gram", "name"), "gram").select("alias", "name").distinct()
-    dots = near.join(q.select("alias", "gram", "qw"), "alias").join(dw.select("name", "gram", "w"), ["name", "gram"]).groupBy("alias", "name").agg(F.sum(F.col("qw") * F.col("w")).alias("dot"))
-    cos = dots.join(qn, "alias").join(dn, "name").select("alias", "name", (F.col("dot") / (F.col("qn") * F.col("dn"))).alias("similarity"))
-    best = cos.join(concepts.select(F.col("alias").alias("name"), "qid").distinct(), "name").groupBy("alias", "qid").agg(F.max("similarity").alias("similarity"))
-    w = Window.partitionBy("alias").orderBy(F.desc("similarity"), "qid")
-    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    w = (F.col("tf") * F.col("idf")).alias("w")
+    names = queries.select("alias").where("alias is not null").distinct()
+    parts, buckets = -(-names.count() // NAMES_AT_ONCE) or 1, -(-total // CONCEPTS_AT_ONCE) or 1
+    part = lambda c, m: F.pmod(F.xxhash64(c), F.lit(m)).cast("int")
+    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
+    q = char_grams(names, ["alias"], "alias", n).join(idf, "gram")
+    rare = F.lit(True) if top_grams is None else F.row_number().over(Window.partitionBy("alias").orderBy(F.desc("idf"), "gram")) <= top_grams
+    q = q.select(part("alias", parts).alias("part"), "alias", "gram", w, rare.alias("rare")).select("*", every(buckets).alias("bucket"))
+    d = docs.join(idf, "gram").select("name", "gram", w).join(concepts, "name").select(part("qid", buckets).alias("bucket"), "qid", "name", "gram", "w").select("*", every(parts).alias("part"))
+    near = q.groupBy("part", "bucket").cogroup(d.groupBy("part", "bucket")).applyInArrow(_nearest(k), "alias string, qid string, similarity double")
+    by = Window.partitionBy("alias").orderBy(F.desc("similarity"), "qid")
+    return near.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
 
 
 #: Candidate generators by name.

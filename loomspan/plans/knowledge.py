@@ -539,6 +539,6 @@ def j23_context_hits(t):
 
 @query()
 def bm09_tfidf_topk(t):
-    """Nearest concepts of benchmark names by character n-grams; tested against all pairs."""
-    names = t.benchmark_items.where("sentence is not null").select(F.explode(N.proper_phrases(F.split("sentence", " "), ENGLISH.stop)).alias("x")).select(F.lower("x").alias("alias")).where("length(alias) > 3")
-    return B.tfidf_candidates(names, cands(t).select("alias", "qid"), 5)
+    """The 30 nearest concepts of benchmark names by character n-grams; tested against all pairs."""
+    names = t.benchmark_items.where("sentence is not null").select(F.explode(N.proper_phrases(F.split("sentence", " "), ENGLISH.stop)).alias("x")).select(F.lower("x").alias("alias"))
+    return B.tfidf_candidates(names, cands(t).select("alias", "qid"), 30)

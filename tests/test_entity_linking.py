@@ -395,3 +395,42 @@ def test_chosen_aliases_all(spark, tmp_path):
             else:
                 want[i, k] = near[hashes[i, k] % len(near)] if near else a
     assert got == want and len(got) == 55 and {got[i, 3] for i in range(5)} == {"one a", "one b"} and got[0, 7] == "crowd alone"
+
+
+@pytest.mark.parametrize("scores", [4_000_000, 500])
+def test_tfidf_query(spark, tmp_path, monkeypatch, scores):
+    """The query itself, with its own parameters, against scoring every pair."""
+    import math
+    from collections import Counter, defaultdict
+
+    from loomspan.plans import knowledge
+
+    monkeypatch.setattr(B, "SCORES_AT_ONCE", scores)
+    if scores == 500:
+        monkeypatch.setattr(B, "NAMES_AT_ONCE", 5), monkeypatch.setattr(B, "CONCEPTS_AT_ONCE", 60)
+    rng = random.Random(5)
+    word = lambda least, most: "".join(rng.choice("abcde") for _ in range(rng.randrange(least, most)))
+    cand = sorted({(word(2, 14), f"Q{rng.randrange(90)}") for _ in range(250)})
+    asked = sorted({word(2, 16) for _ in range(20)} | {"ab", "abc"})
+    items = [(i, x.capitalize()) for i, x in enumerate(asked)] + [(99, None)]
+    path = tables(spark, tmp_path, candidate=([(a, q, 1) for a, q in cand], "alias string, qid string, score long"), benchmark_items=(items, "item_id long, sentence string"))
+    got = defaultdict(list)
+    for r in knowledge.queries()["bm09_tfidf_topk"](spark, path).orderBy("alias", "rank").collect():
+        got[r.alias].append(r)
+
+    grams = lambda t: Counter(f" {t} "[i : i + 3] for i in range(len(t)))
+    names = {a for a, _ in cand}
+    df = Counter(g for x in names for g in grams(x))
+    vec = lambda t: {g: m * (math.log((1 + len(names)) / (1 + df[g])) + 1) for g, m in grams(t).items() if g in df}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    vecs, most = {x: vec(x) for x in names}, 0
+    for a in asked:
+        x, best = vec(a), defaultdict(float)
+        for m, q in cand:
+            if dot := sum(w * vecs[m].get(g, 0) for g, w in x.items()):
+                best[q] = max(best[q], dot / norm(x) / norm(vecs[m]))
+        want = sorted(best.values(), reverse=True)[:30]
+        most = max(most, len(best))
+        assert [r.rank for r in got[a]] == list(range(1, len(want) + 1)) and len({r.qid for r in got[a]}) == len(want)
+        assert [r.similarity for r in got[a]] == pytest.approx(want, abs=1e-9) and all(r.similarity == pytest.approx(best[r.qid], abs=1e-9) for r in got[a])
+    assert most > 30 and got["ab"] and got["abc"]
