@@ -144,15 +144,17 @@ def lb05_swapped(t):
 
 @query()
 def bm02_contextual(t):
-    """Candidates of benchmark names re-ranked by context: five by prior, the rest by score."""
-    names = t.benchmark_items.where("sentence is not null").select("item_id", "sentence", F.explode(N.proper_phrases(F.split("sentence", " "), ENGLISH.stop)).alias("term"))
-    asked = names.select(F.concat_ws("_", fold_alias("term"), "item_id").alias("mention"), fold_alias("term").alias("alias"), "item_id")
+    """Candidates of benchmark names, or of their longest known parts, re-ranked by context: five by prior, the rest by
+    score. A name without candidates has a row without qid and rank."""
+    names = t.benchmark_items.where("sentence is not null").select("item_id", F.explode(N.proper_phrases(F.split("sentence", " "), ENGLISH.stop)).alias("term")).distinct()
+    asked = names.select(F.concat_ws("_", fold_alias("term"), "item_id").alias("mention"), fold_alias("term").alias("alias"), "item_id").distinct()
     titled = titles(t).groupBy("qid").agg(F.min("title").alias("title"))
-    prior = asked.join(C.top_k(cands(t), 30).select("alias", "qid", F.col("score").alias("prior")), "alias").join(titled, "qid", "left")
+    prior = asked.join(B.backed_off(asked, cands(t)).withColumnRenamed("score", "prior"), "alias").join(titled, "qid", "left")
     pages = t.sentences.where("parent_qid is not null and sentence is not null").select(F.col("parent_qid").alias("qid"), "sentence")
-    terms = asked.select("mention", "item_id").join(names.select("item_id", "term"), "item_id").select("mention", "term")
+    terms = asked.select("mention", "item_id").join(names, "item_id").select("mention", "term")
     scored = B.contextual_scores(prior.select("mention", "alias", "qid", "title", "prior"), B.context_scores(prior.select("mention", "qid").distinct(), pages, terms))
-    return B.merged_ranking(scored.select("mention", "qid", "prior"), scored.select("mention", "qid", "context"), "mention", 10)
+    ranked = B.merged_ranking(scored.select("mention", "qid", "prior"), scored.select("mention", "qid", "context"), "mention", 10)
+    return asked.select("mention").join(ranked, "mention", "left")
 
 
 @query("select doc_id, case when doc_id >= 900 then 'testb' when doc_id >= 700 then 'testa' else 'train' end as split from documents")

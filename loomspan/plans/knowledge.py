@@ -529,10 +529,12 @@ def wn10_merge_rank(t):
 
 @query()
 def j23_context_hits(t):
-    """Proper names of the sentence that a candidate's page also has, for benchmark items."""
+    """Proper names of the sentence that a candidate's page also has, for benchmark items; candidates of their names or
+    of the longest known parts of these."""
     c = cands(t).where("score >= 0")
     items = t.benchmark_items.where("sentence is not null").select("item_id", F.explode(N.proper_phrases(F.split("sentence", " "), ENGLISH.stop)).alias("term"))
-    named = items.select(F.col("item_id").alias("mention"), fold_alias("term").alias("alias")).join(C.top_k(c, 30).select("alias", "qid"), "alias").select("mention", "qid").distinct()
+    asked = items.select(F.col("item_id").alias("mention"), fold_alias("term").alias("alias"))
+    named = asked.join(B.backed_off(asked, c).select("alias", "qid"), "alias").select("mention", "qid").distinct()
     pages = t.sentences.where("parent_qid is not null and sentence is not null").select(F.col("parent_qid").alias("qid"), "sentence")
     return B.context_scores(named, pages, items.select(F.col("item_id").alias("mention"), "term"))
 

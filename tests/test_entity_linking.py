@@ -434,3 +434,28 @@ def test_tfidf_query(spark, tmp_path, monkeypatch, scores):
         assert [r.rank for r in got[a]] == list(range(1, len(want) + 1)) and len({r.qid for r in got[a]}) == len(want)
         assert [r.similarity for r in got[a]] == pytest.approx(want, abs=1e-9) and all(r.similarity == pytest.approx(best[r.qid], abs=1e-9) for r in got[a])
     assert most > 30 and got["ab"] and got["abc"]
+
+
+def test_contextual_query(spark, tmp_path):
+    """Names that aren't aliases get the candidates of their known parts, all candidates are ranked, misses keep a row."""
+    from loomspan.plans import extras, knowledge
+
+    cand = [("bigapple", "Q1", 5), ("new york", "Q2", 9), ("york", "Q3", 4), ("york", "Q2", 1), ("crowd", "Q2", 1)] + [("crowd", f"C{i:02}", 100 - i) for i in range(40)]
+    items = [(1, "we saw Big Apple and New York City"), (2, "a Crowd near Zork"), (3, None)]
+    sents = [sentence(1, text="old Zork here", page="C39"), sentence(2, text="in Big Apple now", page="Q1")]
+    path = tables(
+        spark, tmp_path, candidate=(cand, "alias string, qid string, score long"), benchmark_items=(items, "item_id long, sentence string"), sentences=(sents, SENTENCES),
+        title_map=([("C39", 1, "far", "far", "far")], "qid string, id long, title string, wikidata_title string, wikipedia_title string"),
+    )
+    got: dict = {}
+    for r in extras.queries()["bm02_contextual"](spark, path).orderBy("mention", "rank").collect():
+        got.setdefault(r.mention, []).append((r["rank"], r.qid))
+    crowd = got.pop("crowd_2")
+    assert got == {
+        "big apple_1": [(1, "Q1")], "big_1": [(None, None)], "apple_1": [(None, None)], "new york city_1": [(1, "Q2")], "new_1": [(None, None)],
+        "york_1": [(1, "Q3"), (2, "Q2")], "city_1": [(None, None)], "zork_2": [(None, None)],
+    }
+    assert crowd[:6] == [*((k + 1, f"C{k:02}") for k in range(5)), (6, "C39")] and len(crowd) == 10
+    hits = {(r.mention, r.qid): r.hits for r in knowledge.queries()["j23_context_hits"](spark, path).collect()}
+    # Big Apple (two words), Big and Apple on the page of Q1; Zork on that of C39
+    assert hits == {(1, "Q1"): 4, (2, "C39"): 1}
