@@ -31,10 +31,17 @@ def _number(raw: Column) -> Column:
 
 
 def number_key(raw: Column) -> Column:
-    """The number in plain decimal notation where 38 digits hold it, else as a double: equal numbers, equal keys."""
+    """The number as `sign digits e power`, its digits without zeros at either end: equal numbers, equal keys, whatever
+    their length; different ones never share a key."""
     text = _number(raw)
-    exact = text.try_cast("decimal(38,15)")
-    return F.coalesce(exact.cast("string"), text.try_cast("double").cast("string"))
+    part = lambda pattern: F.regexp_extract(text, pattern, 1)
+    fraction, exponent = part(r"\.([0-9]+)"), part(r"[eE]([+-]?[0-9]+)$")
+    digits = F.ltrim(F.concat(part(r"^[+-]?([0-9]+)"), fraction), F.lit("0"))
+    kept = F.rtrim(digits, F.lit("0"))
+    power = F.coalesce(F.nullif(exponent, F.lit("")), F.lit("0")).try_cast("decimal(30,0)") - F.length(fraction) + F.length(digits) - F.length(kept)
+    sign = F.when(F.startswith(text, F.lit("-")), "-").otherwise("")
+    # a power beyond 30 digits stays as it is written
+    return F.when(text.isNotNull(), F.when(kept == "", "0").otherwise(F.concat(sign, kept, F.lit("e"), F.coalesce(power.cast("string"), exponent))))
 
 
 def day(raw: Column) -> Column:

@@ -79,10 +79,11 @@ def typed(rels: DataFrame, most: int, properties: tuple[str, ...] = TYPE_PROPERT
     return pairs.join(freq, "type").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
 
 
-def dense_ids(df: DataFrame, order: list[Column], first: int, name: str, slices: int = 64) -> DataFrame:
+def dense_ids(df: DataFrame, order: list[Column], first: int, name: str, slices: int | None = None) -> DataFrame:
     """df with consecutive numbers in a total order. Rows are range-partitioned by it, slices are numbered apart and
     shifted by the sizes of those before: no task sees all rows. The slices are written once, as their bounds come from
-    a sample that another run of the plan might draw otherwise."""
+    a sample that another run of the plan might draw otherwise. slices: by default the session's shuffle partitions."""
+    slices = slices or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cut = Scratch(df.sparkSession, "ids").save(df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()))
     local = cut.withColumn("_row", F.row_number().over(Window.partitionBy("_slice").orderBy(*order)))
     sizes = local.groupBy("_slice").agg(F.count("*").alias("_n"))
