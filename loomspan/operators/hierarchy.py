@@ -16,6 +16,8 @@ from loomspan.operators.skew import lookup
 from loomspan.scratch import Scratch
 
 SLICE = 50_000
+#: Sizes of the blocks that ranges are cut into, each a multiple of the one before.
+BLOCKS = (1, 16, 256, 4096)
 
 
 def primary_links(links: DataFrame, scope: str, child: str, parent: str) -> DataFrame:
@@ -99,27 +101,30 @@ def other_links(links: DataFrame, *, scope: str, child: str, parent: str) -> Dat
 def descent(nested: DataFrame) -> DataFrame:
     """(scope, ancestor, descendant, distance): every node with each node below it, by nested-set ranges.
 
-    A range is cut into dyadic blocks, a point lies in one block of each level; ranges and points meet on equal blocks.
-    So each pair meets exactly once and a root with very many nodes isn't one group. Nodes on or below circles have none.
+    A range is cut into blocks of BLOCKS sizes, a point lies in one block of each size; ranges and points meet on equal
+    blocks. So each pair meets exactly once, and no block has more points than the largest size, whatever its root has.
+    Nodes on or below circles have none.
     """
     tree = nested.where("not cyclic")
-    top = tree.where("depth = 0").select("scope", "root", F.greatest(F.ceil(F.log2(F.col("size").cast("double"))), F.lit(0)).cast("int").alias("levels"))
-    tree = tree.join(top, ["scope", "root"])
-
-    def blocks(level):
-        # of the half-open range [a, b): the blocks of this level not inside a block of the level above that it holds
-        width = F.call_function("shiftleft", F.lit(1).cast("long"), level)
-        a, b = F.ceil((F.col("lo") + 1) / width).cast("long"), F.floor((F.col("hi") + 1) / width).cast("long")
-        left = F.when((a < b) & (a % 2 == 1), a)
-        right = F.when((a < b) & (b % 2 == 1), b - 1)
-        return F.transform(F.array_distinct(F.array_compact(F.array(left, right))), lambda x: F.struct(level.alias("level"), x.alias("block")))
-
-    def points(level):
-        return F.struct(level.alias("level"), F.floor(F.col("lo") / F.call_function("shiftleft", F.lit(1).cast("long"), level)).cast("long").alias("block"))
-
-    levels = F.sequence(F.lit(0), F.col("levels"))
-    ranges = tree.where("size > 1").select("scope", "root", F.col("node").alias("ancestor"), F.col("depth").alias("d1"), F.explode(F.flatten(F.transform(levels, blocks))).alias("at"))
-    below = tree.where("depth > 0").select("scope", "root", F.col("node").alias("descendant"), F.col("depth").alias("d2"), F.explode(F.transform(levels, points)).alias("at"))
+    # as [a, b) in blocks of each size: what no block of the next size covers
+    a, b = F.col("lo") + 1, F.col("hi") + 1
+    runs, marked = [], lambda level: lambda n: F.struct(F.lit(level).alias("level"), n.alias("block"))
+    for i, width in enumerate(BLOCKS):
+        low, high = F.ceil(a / width).cast("long"), F.floor(b / width).cast("long")
+        if i + 1 == len(BLOCKS):
+            parts = [(low, high)]
+        else:
+            ratio = BLOCKS[i + 1] // width
+            upper_low, upper_high = F.ceil(low / ratio).cast("long"), F.floor(high / ratio).cast("long")
+            inside = upper_low < upper_high
+            parts = [(low, F.when(inside, upper_low * ratio).otherwise(high)), (F.when(inside, upper_high * ratio).otherwise(high), high)]
+        empty = F.expr("cast(array() as array<bigint>)")
+        for x, y in parts:
+            blocks = F.when(x < y, F.sequence(x, F.greatest(x, y - 1))).otherwise(empty)
+            runs.append(F.transform(blocks, marked(i)))
+    ranges = tree.where("size > 1").select("scope", "root", F.col("node").alias("ancestor"), F.col("depth").alias("d1"), F.explode(F.concat(*runs)).alias("at"))
+    points = F.array(*[F.struct(F.lit(i).alias("level"), F.floor(F.col("lo") / width).cast("long").alias("block")) for i, width in enumerate(BLOCKS)])
+    below = tree.where("depth > 0").select("scope", "root", F.col("node").alias("descendant"), F.col("depth").alias("d2"), F.explode(points).alias("at"))
     return ranges.join(below, ["scope", "root", "at"]).select("scope", "ancestor", "descendant", (F.col("d2") - F.col("d1")).alias("distance"))
 
 
