@@ -3,7 +3,9 @@
 Load is estimated exactly and cheaply: rows per key are counted with map-side combine. Keys above the mean load of a
 task are split into shards in proportion to their load; all other keys fall into virtual bins by hash, and bins and
 shards are packed onto tasks, the fullest first. The matching side is replicated only to the shards of split keys.
-The driver sees at most `tasks * 2` split keys and `BINS * tasks` bin loads, whatever the data.
+Rows are partitioned by the number of the planned task itself, so that the partitions are the planned ones, and the join
+is a merge join even where a side is small. The driver sees at most `tasks * 2` split keys and `BINS * tasks` bin loads,
+whatever the data.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from loomspan.scratch import Scratch
 
 BINS = 16
+SMALL = 1_000_000
 
 
 @dataclass
@@ -25,7 +28,7 @@ class Plan:
 
     tasks: int
     bins: int
-    bin_task: list[int]
+    bin_task: DataFrame  # bin, bin_task: BINS a task
     split: DataFrame  # key, shard_tasks array<int>
     loads: list[float]
 
@@ -60,14 +63,14 @@ def plan_balance(loads: DataFrame, key: str, tasks: int, load: str = "load") ->
             bin_task[what] = t
     key_type = loads.schema["k"].dataType.simpleString()
     split = spark.createDataFrame([(k, [by[s] for s in sorted(by)]) for k, by in shard_tasks.items()], f"k {key_type}, shard_tasks array<int>")
-    return Plan(tasks, bins, bin_task, split, sorted(x for x, _ in heap))
+    return Plan(tasks, bins, spark.createDataFrame(list(enumerate(bin_task)), "_bin int, bin_task int"), split, sorted(x for x, _ in heap))
 
 
 def _place(df: DataFrame, key: Column, plan: Plan) -> DataFrame:
     """df with `_k`, `_tasks` (array of the key's shards, or the one task of its bin)."""
-    table = F.array(*[F.lit(t) for t in plan.bin_task])
     marked = df.withColumn("_k", key).join(F.broadcast(plan.split.select(F.col("k").alias("_k"), "shard_tasks")), "_k", "left")  # under 2 * tasks rows
-    return marked.withColumn("_tasks", F.coalesce("shard_tasks", F.array(F.get(table, _bin(F.col("_k"), plan.bins))))).drop("shard_tasks")
+    marked = marked.withColumn("_bin", F.when(F.col("_k").isNotNull(), _bin(F.col("_k"), plan.bins))).join(F.broadcast(plan.bin_task), "_bin", "left")  # BINS * tasks rows
+    return marked.withColumn("_tasks", F.coalesce("shard_tasks", F.array("bin_task"))).drop("shard_tasks", "_bin", "bin_task")
 
 
 def fragment(df: DataFrame, key: str, plan: Plan, spread: list[str] | None = None) -> DataFrame:
@@ -76,9 +79,17 @@ def fragment(df: DataFrame, key: str, plan: Plan, spread: list[str] | None = Non
     Rows of a split key are spread by a hash of the columns `spread`, of all columns by default. It must tell rows of
     one key apart; a random number wouldn't do, as a task that is run again must send each row where it went before.
     """
-    by = spread or [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in by]), F.size("_tasks"))
-    return _place(df, F.col(f"`{key}`"), plan).withColumn("_task", F.get("_tasks", spread.cast("int"))).drop("_tasks")
+    at = F.pmod(F.xxhash64(*_columns(df, spread)), F.size("_tasks")).cast("int")
+    return _place(df, F.col(f"`{key}`"), plan).withColumn("_task", F.get("_tasks", at)).drop("_tasks")
+
+
+def _columns(df: DataFrame, spread: list[str] | None) -> list[Column]:
+    return [F.col(f"`{c}`") for c in spread or [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]]
+
+
+def _spread(df: DataFrame, plan: Plan, spread: list[str] | None) -> Column:
+    """A task for rows without a key."""
+    return F.pmod(F.xxhash64(*_columns(df, spread)), F.lit(plan.tasks)).cast("int")
 
 
 def replicate(df: DataFrame, key: str, plan: Plan) -> DataFrame:
@@ -94,18 +105,27 @@ def balanced_join(left: DataFrame, right: DataFrame, key: str, plan: Plan, how:
     """
     clash = {c.lower() for c in left.columns}
     names = {c: f"{c}_right" if c.lower() in clash else c for c in right.columns if c != key}
-    fragments = fragment(left, key, plan, spread).withColumn("_task", F.coalesce("_task", F.lit(0)))
+    if how in ("inner", "left_semi"):
+        left = left.where(F.col(f"`{key}`").isNotNull())
+    fragments = fragment(left, key, plan, spread)
+    fragments = fragments.withColumn("_task", F.coalesce("_task", _spread(left, plan, spread)))
     copies = replicate(right.where(F.col(f"`{key}`").isNotNull()), key, plan).select("_task", "_k", *[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    parts = fragments.repartition(plan.tasks, "_task", "_k"), copies.repartition(plan.tasks, "_task", "_k")
-    return parts[0].join(parts[1], ["_task", "_k"], how).drop("_task", "_k")
+    return placed(fragments, plan).join(placed(copies, plan).hint("merge"), ["_task", "_k"], how).drop("_task", "_k")
+
+
+def placed(df: DataFrame, plan: Plan) -> DataFrame:
+    """df with `_task`, each row in the partition of that number."""
+    return df.repartitionById(plan.tasks, F.col("_task"))
 
 
-def lookup(left: DataFrame, right: DataFrame, on: str, rows: int | None = None, share: int = 256) -> DataFrame:
-    """Left join with a table of one row per key. The keys with most of left's rows, at most `share` of
-    them, are looked up by broadcast, so that no task gets more than 1/share of all rows for one key. rows: left has no more than so many; up
-    to a million, all of one key would still be a small task, and a plain join does."""
-    if rows is not None and rows <= 1_000_000:
+def lookup(left: DataFrame, right: DataFrame, on: str, rows: int | None = None, share: int | None = None) -> DataFrame:
+    """Left join with a table of one row per key. The keys with most of left's rows, at most `share` of them, are looked
+    up by broadcast, so that no task gets more than 1/share of all rows for one key; share is four a task of the
+    session, 256 at least. rows: left has no more than so many; up to SMALL, all of one key would still be a small task,
+    and a plain join does."""
+    if rows is not None and rows <= SMALL:
         return left.join(right, on, "left")
+    share = share or max(256, 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counts = left.where(F.col(on).isNotNull()).groupBy(on).count()
     # keys above 1/share of all rows are among the first `share` by count
     heavy = counts.where(F.col("count") > 10_000).orderBy(F.desc("count"), on).limit(share).select(on)
