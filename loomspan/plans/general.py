@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from loomspan.functions import readings
 from loomspan.functions.text import fold_alias, key, known_qid, strip
 from loomspan.operators.hierarchy import descent, hierarchy, paths
-from loomspan.operators.nested import merged_json_schema, shred
+from loomspan.operators.nested import json_fields, shred
 from loomspan.operators.skew import balanced_join, measure, plan_balance, value_counts
 from loomspan.operators.wide import cell_states, widen
 from loomspan.plans.tables import parallelism, table
@@ -31,7 +31,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def p1_wide(spark: SparkSession, d: str) -> DataFrame:
     """The wide table; arrays as text, so that any engine compares them."""
     wide = widen(table(spark, d, "entity_rels"), table(spark, d, "property_defs"))
-    out = [F.col("qid"), F.col("chunk")]
+    out = [F.col("qid")]
     for _, name, datatype, single in wide._properties:
         c = F.col(name)
         if not single and datatype == "quantity":
@@ -45,33 +45,39 @@ def p1_wide(spark: SparkSession, d: str) -> DataFrame:
 # 2 - nested records into flat tables
 
 
-def _dump(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return shred(table(spark, d, "preprocess_dump"), "line_no", "line")
+def _dump(spark: SparkSession, d: str, carry: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
+    return shred(table(spark, d, "preprocess_dump"), "line_no", "line", carry)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Claims, qualifiers and sitelinks of the records of type item, each with its parent."""
-    t = _dump(spark, d)
-    items = t["line"].where("type = 'item' and id is not null").select(F.col("row_id").alias("line"), F.col("id").alias("qid"))
-    counts = "is not null and {0}snaktype = 'value' and {0}datavalue is not null"
-    claims = t["line_claims"].where("id " + counts.format("mainsnak_")).select(F.col("row_id").alias("claim_row"), F.col("parent_id").alias("line"), F.col("id").alias("claim_id"))
-    claims = claims.join(items, "line")
-    qualifiers = t["line_claims_qualifiers"].where("hash " + counts.format("")).select(F.col("parent_id").alias("claim_row"), "hash")
-    links = t["line_sitelinks"].where(strip("title") != "").select(F.col("parent_id").alias("line"), "map_key").join(items, "line")
-    return (
-        claims.select("qid", F.lit("claim").alias("child_kind"), F.col("qid").alias("parent_id"), F.col("claim_id").alias("child_id"))
-        .unionByName(claims.join(qualifiers, "claim_row").select("qid", F.lit("qualifier").alias("child_kind"), F.col("claim_id").alias("parent_id"), F.col("hash").alias("child_id")))
-        .unionByName(links.select("qid", F.lit("sitelink").alias("child_kind"), F.col("qid").alias("parent_id"), F.col("map_key").alias("child_id")))
-        .distinct()
-    )
+    t = _dump(spark, d, {"line": ["id", "type"], "line_claims": ["id", "mainsnak_snaktype", "mainsnak_datavalue"]})
+    item = "line__type = 'item' and line__id is not null"
+    counts = "{0} is not null and {1}snaktype = 'value' and {1}datavalue is not null"
+    kinds = {
+        "claim": t["line_claims"].where(counts.format("id", "mainsnak_")).withColumn("parent_id", F.col("line__id")).withColumn("child_id", F.col("id")),
+        "qualifier": t["line_claims_qualifiers"].where(counts.format("line_claims__id", "line_claims__mainsnak_")).where(counts.format("hash", "")).withColumn("parent_id", F.col("line_claims__id")).withColumn("child_id", F.col("hash")),
+        "sitelink": t["line_sitelinks"].where(strip("title") != "").withColumn("parent_id", F.col("line__id")).withColumn("child_id", F.col("map_key")),
+    }
+    return _union([rows.where(item).select(F.col("line__id").alias("qid"), F.lit(kind).alias("child_kind"), "parent_id", "child_id") for kind, rows in kinds.items()]).distinct()
+
+
+def _opened(rows: DataFrame, json: str) -> DataFrame:
+    """rows with the leaves of their raw values, as text, whatever fields the data's values have."""
+    wanted = {"type": "value_type", "value": "plain", "value_id": "item", "value_amount": "amount", "value_time": "time", "value_text": "text", "value_language": "language", "value_latitude": "latitude"}
+    leaves = {name: c for name, c in json_fields(rows, F.col(json))}
+    return rows.select("row_id", "parent_id", F.col("ordinal").cast("long").alias("ordinal"), "map_key", *[leaves.get(k, F.lit(None)).cast("string").alias(v) for k, v in wanted.items()])
 
 
 def p2_claim_values(spark: SparkSession, d: str) -> DataFrame:
-    """All claim rows with their path keys, the raw JSON of the value opened by the schema merged over all rows."""
-    claims = _dump(spark, d)["line_claims"]
-    schema = merged_json_schema(claims, F.col("mainsnak_datavalue"))
-    opened = claims.withColumn("v", F.from_json("mainsnak_datavalue", schema))
-    return opened.select("row_id", "parent_id", F.col("ordinal").cast("long").alias("ordinal"), "map_key", F.col("v.type").alias("value_type"))
+    """All claim rows with their path keys, the raw JSON of the value opened: a column per leaf of the schema merged over
+    all rows."""
+    return _opened(_dump(spark, d)["line_claims"], "mainsnak_datavalue")
+
+
+def p2_qualifier_values(spark: SparkSession, d: str) -> DataFrame:
+    """The same of all qualifiers."""
+    return _opened(_dump(spark, d)["line_claims_qualifiers"], "datavalue")
 
 
 def p2_row_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -124,23 +130,29 @@ def _mentions(spark: SparkSession, d: str) -> DataFrame:
     return at.select("sent_idx_unq", "pos", fold_alias("alias").alias("alias"), known_qid(F.get("qids", F.col("pos"))).alias("qid"))
 
 
+def _by_key(mentions: DataFrame, key_: str, value: str, spark: SparkSession) -> DataFrame:
+    loads = measure(mentions, key_, Scratch(spark, "p5"))
+    return value_counts(mentions, key_, value, loads, plan_balance(loads, key_, parallelism(spark)), ["sent_idx_unq", "pos"])
+
+
 def p5_alias_qids(spark: SparkSession, d: str) -> DataFrame:
     """How often each alias names each qid, beside the alias's mentions, made in evenly loaded shards."""
-    mentions, scratch = _mentions(spark, d), Scratch(spark, "p5")
-    loads = measure(mentions, "alias", scratch)
-    plan = plan_balance(loads, "alias", parallelism(spark))
-    return value_counts(mentions, "alias", "qid", loads, plan, ["sent_idx_unq", "pos"])
+    return _by_key(_mentions(spark, d), "alias", "qid", spark)
+
+
+def p5_qid_aliases(spark: SparkSession, d: str) -> DataFrame:
+    """How often each qid goes by each alias, beside the qid's mentions."""
+    return _by_key(_mentions(spark, d), "qid", "alias", spark)
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Aliases of at least 2.5 % of all mentions, with the qid most of theirs name; of equally many, the first."""
-    mentions, scratch = _mentions(spark, d), Scratch(spark, "p5")
-    loads = measure(mentions, "alias", scratch)
-    plan = plan_balance(loads, "alias", parallelism(spark))
+    mentions = _mentions(spark, d)
+    loads = measure(mentions, "alias", Scratch(spark, "p5"))
     total = loads.agg(F.sum("load")).first()[0] or 0
     large = loads.where(F.col("load") >= ALIAS_SHARE * total)  # at most 40
     wanted = mentions.join(F.broadcast(large.select("alias")), "alias", "left_semi")
-    counts = value_counts(wanted, "alias", "qid", large, plan, ["sent_idx_unq", "pos"])
+    counts = value_counts(wanted, "alias", "qid", large, plan_balance(large, "alias", parallelism(spark)), ["sent_idx_unq", "pos"])
     best = counts.groupBy("alias").agg(F.min_by("qid", F.struct((-F.col("n")).alias("n"), "qid")).alias("qid"))
     return best.select("alias", "qid")
 
@@ -157,7 +169,7 @@ def p5_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_wide, p2_found, p2_claim_values, p2_row_counts, p4_found, p4_tree, p4_descendants, p5_found, p5_alias_qids, p5_candidates)}
+    return {f.__name__: f for f in (p1_found, p1_wide, p2_found, p2_claim_values, p2_qualifier_values, p2_row_counts, p4_found, p4_tree, p4_descendants, p5_found, p5_alias_qids, p5_qid_aliases, p5_candidates)}
 
 
 _STRIP = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
@@ -194,7 +206,7 @@ def _wide_sql() -> str:
         else:
             text = "cast(cast(try_cast(reading as double) as decimal(30,3)) as varchar)" if kind == "quantity" else "reading"
             columns.append(f"string_agg(distinct {text}, '|' order by {text}) filter (property_id = '{pid}') as {pid}")
-    return f"with {_READ} select qid, cast(0 as integer) as chunk, {', '.join(columns)} from readings group by qid"
+    return f"with {_READ} select qid, {', '.join(columns)} from readings group by qid"
 
 
 #: The fixed table property_defs: property, datatype, single.
@@ -219,6 +231,12 @@ down as (
   union all
   select l.property_id, l.qid, d.root, d.depth + 1, d.path || ' > ' || l.qid from down d join links l on l.property_id = d.property_id and l.parent = d.qid)"""
 
+#: The leaves of a raw value.
+_LEAVES = ", ".join(
+    f"json_extract_string(try_cast({{0}} as json), '{path}') as {name}"
+    for path, name in (("$.type", "value_type"), ("$.value.id", "item"), ("$.value.amount", "amount"), ("$.value.time", "time"), ("$.value.text", "text"), ("$.value.language", "language"), ("$.value.latitude", "latitude"))
+) + ", case when json_type(try_cast({0} as json), '$.value') <> 'OBJECT' then json_extract_string(try_cast({0} as json), '$.value') end as plain"
+
 _MENTIONS_SQL = f"""
 m as (
   select {_FOLD.format("aliases[i]")} as alias, nullif(nullif(upper(trim(qids[i])), '-1'), '') as qid
@@ -234,8 +252,11 @@ def oracle_sql() -> dict[str, str]:
             select qid, property_id from readings where cardinality = 'single'
             group by qid, property_id having count(distinct reading) <> 1""",
         "p1_wide": _wide_sql(),
-        "p2_claim_values": f"""select line_no || '/claims:' || p || ':' || i as row_id, cast(line_no as varchar) as parent_id, i as ordinal, p as map_key, try_cast(claims[p][i + 1].mainsnak.datavalue as json)->>'type' as value_type
+        "p2_claim_values": f"""select line_no || '/claims:' || p || ':' || i as row_id, cast(line_no as varchar) as parent_id, i as ordinal, p as map_key, {_LEAVES.format("claims[p][i + 1].mainsnak.datavalue")}
             from (select line_no, claims, p, unnest(range(0, len(claims[p]))) as i from (select line_no, claims, unnest(map_keys(claims)) as p from preprocess_dump))""",
+        "p2_qualifier_values": f"""with c as (select line_no || '/claims:' || p || ':' || i as parent_id, claims[p][i + 1].qualifiers as q from (select line_no, claims, p, unnest(range(0, len(claims[p]))) as i from (select line_no, claims, unnest(map_keys(claims)) as p from preprocess_dump)))
+            select parent_id || '/qualifiers:' || p || ':' || i as row_id, parent_id, i as ordinal, p as map_key, {_LEAVES.format("q[p][i + 1].datavalue")}
+            from (select parent_id, q, p, unnest(range(0, len(q[p]))) as i from (select parent_id, q, unnest(map_keys(q)) as p from c))""",
         "p2_row_counts": """select 'line' as flat_table, count(*) as n from preprocess_dump
             union all select 'line_aliases', coalesce(sum(len(a)), 0)::bigint from (select unnest(map_values(aliases)) as a from preprocess_dump)
             union all select 'line_claims', coalesce(sum(len(a)), 0)::bigint from (select unnest(map_values(claims)) as a from preprocess_dump)
@@ -266,6 +287,9 @@ def oracle_sql() -> dict[str, str]:
         "p5_alias_qids": f"""with {_MENTIONS_SQL}
             select alias, n_key, qid, n from (select alias, qid, count(*) as n from m where qid is not null group by all)
             join (select alias, count(*) as n_key from m group by alias) using (alias)""",
+        "p5_qid_aliases": f"""with {_MENTIONS_SQL}
+            select qid, n_key, alias, n from (select qid, alias, count(*) as n from m where qid is not null group by all)
+            join (select qid, count(*) as n_key from m where qid is not null group by qid) using (qid)""",
         "p5_candidates": f"""with {_MENTIONS_SQL},
             c as (select distinct {_FOLD.format("alias")} as alias, upper(trim(qid)) as qid, 1 as hit from candidate where qid is not null and alias is not null)
             select m.alias, count(*) as n_mentions, count(c.hit) as n_in_candidates from m left join c on c.alias = m.alias and c.qid = m.qid group by m.alias""",
