@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from loomspan.functions import readings
 from loomspan.functions.text import fold_alias, fold_title, key, known_qid, strip, words
 from loomspan.operators.hierarchy import descent, hierarchy, other_links, paths
-from loomspan.operators.nested import merged_json_schema, shred
-from loomspan.operators.skew import balanced_join, lookup, measure, plan_balance, value_counts
-from loomspan.operators.wide import cell_states, widen
+from loomspan.operators.nested import json_fields, shred
+from loomspan.operators.skew import balanced_join, fragment, lookup, measure, placed, plan_balance, value_counts
+from loomspan.operators.wide import cell_states, long_values, widen
 
 DEFS = [("P1", "item", "wikibase-item", "single"), ("P2", "n", "quantity", "single"), ("P3", "t", "time", "single"), ("P4", "s", "string", "single"), ("P5", "ns", "quantity", "many"), ("p6 ", "ss", "string", "many")]
 
@@ -76,13 +76,24 @@ def test_widen(spark):
     assert ("Q1", "P3", "conflict") in states and ("Q2", "P2", "unread") in states and len(states) == 5
 
 
-def test_widen_large_cell(spark):
-    """A cell beyond the limit goes over several rows of the entity, whole."""
-    rows = [("Q1", "P5", str(i)) for i in range(500)] + [("Q1", "P4", "x"), ("Q2", "P5", "1")]
-    wide = widen(claims(spark, rows), defs(spark), cell_limit=40).collect()
-    of = [r for r in wide if r.qid == "Q1"]
-    assert len(of) > 5 and sorted(x for r in of for x in r.P5 or []) == [float(i) for i in range(500)]
-    assert [r.P4 for r in of if r.chunk == 0] == ["x"] and len({r.chunk for r in of}) == len(of)
+@pytest.mark.parametrize("limit", [1, 40, 998])
+def test_widen_large_cell(spark, limit):
+    """Every entity has one row; a cell beyond the limit is told, and its values are rows: nothing is lost."""
+    rows = [("Q1", "P5", str(i)) for i in range(500)] + [("Q1", "P5", "?"), ("Q1", "P4", "x"), ("Q2", "P5", "1"), ("Q2", "P6", "a")]
+    df = claims(spark, rows + rows)
+    got = {r.qid: r for r in widen(df, defs(spark), cell_limit=limit).collect()}
+    assert set(got) == {"Q1", "Q2"} and got["Q1"].P4 == "x" and got["Q2"].P5 == [1.0] and got["Q2"].P6 == ["a"]
+    apart = [float(r.reading) for r in long_values(df, defs(spark), cell_limit=limit).collect()]
+    assert got["Q1"].P5__state == ("long" if limit < 500 else "ok")
+    assert sorted([*apart, *(got["Q1"].P5 or [])]) == [float(i) for i in range(500)]
+
+
+def test_number_keys(spark):
+    """Equal numbers share a key, different ones never do."""
+    groups = [["1000", "1,000", "1e3", "+1000.0", "10E+2"], ["1e-16", "0.0000000000000001"], ["2e-16"], ["0.12345678901234561"], ["0.12345678901234562"], ["0", "-0.00", "0e7"], ["-1", "-1.0"], ["1", "001"], ["1e400"], ["1e401", "10e400"]]
+    rows = [(i, x) for i, g in enumerate(groups) for x in g]
+    got = spark.createDataFrame(rows, "g int, v string").select("g", readings.number_key(F.col("v")).alias("k")).collect()
+    assert len({(r.g, r.k) for r in got}) == len({r.k for r in got}) == len(groups)
 
 
 def test_widen_empty_and_clashing(spark):
@@ -90,9 +101,9 @@ def test_widen_empty_and_clashing(spark):
     assert empty.count() == 0 and "P1__state" in empty.columns
     none = widen(claims(spark, [("Q1", "P1", "Q2")]), defs(spark).limit(0))
     assert none.collect()[0].qid == "Q1" and cell_states(_marked(none)).count() == 0
-    names = spark.createDataFrame([("QID", "x", "string", "single"), ("CHUNK", "y", "string", "many"), (None, "z", "string", "single")], defs(spark).schema)
-    got = widen(claims(spark, [("Q1", "qid", "v"), ("Q1", "chunk", "w")]), names).first()
-    assert got["QID_"] == "v" and got["CHUNK_"] == ["w"]
+    names = spark.createDataFrame([("QID", "x", "string", "single"), ("CODE", "y", "string", "many"), (None, "z", "string", "single")], defs(spark).schema)
+    got = widen(claims(spark, [("Q1", "qid", "v"), ("Q1", "code", "w")]), names).first()
+    assert got["QID_"] == "v" and got["CODE"] == ["w"]
 
 
 def _marked(df):
@@ -122,12 +133,24 @@ def test_shred(spark):
     assert all(x.count() == 0 for x in shred(spark.createDataFrame([], schema), "k", "r").values())
 
 
-def test_merged_json_schema(spark):
-    df = spark.createDataFrame([('{"a": 1}',), ('{"b": {"c": "x"}}',), ("broken{",), (None,)], "j string")
-    ddl = merged_json_schema(df, F.col("j"))
-    got = df.select(F.from_json("j", ddl).alias("v")).where("v.b.c is not null").first()
-    assert got.v.b.c == "x"
-    assert merged_json_schema(df.limit(0), F.col("j"))
+def test_shred_keys_and_carried(spark):
+    """A key can't pass for a path; columns of ancestors travel down, clashing names or not."""
+    schema = "k string, kind string, m map<string,array<struct<id:string,r__kind:string,subs:map<string,string>>>>"
+    t = shred(spark.createDataFrame([("a", "x", {"p": [("i", "own", {"q": "v"})], "p:0/subs:q": [("j", None, None)]}), ("a/m:p:0", "y", None)], schema), "k", "r", {"r": ["kind"], "r_m": ["id"]})
+    ids = [r.row_id for x in t.values() for r in x.collect()]
+    assert len(ids) == len(set(ids)) == 5
+    assert {(r.id, r["r__kind"], r["r__kind_"]) for r in t["r_m"].collect()} == {("i", "x", "own"), ("j", "x", None)}
+    assert [(r.map_key, r.value, r["r__kind"], r["r_m__id"]) for r in t["r_m_subs"].collect()] == [("q", "v", "x", "i")]
+
+
+def test_json_fields(spark):
+    rows = [('{"t": "a", "v": "plain"}',), ('{"t": "b", "v": {"c d": "x", "n": {"k": 1}}}',), ('{"v": [1, 2], "it\'s": true}',), ("broken{",), (None,), ("[1]",)]
+    df = spark.createDataFrame(rows, "j string")
+    got = [r.asDict() for r in df.select(*[c.cast("string").alias(n) for n, c in json_fields(df, F.col("j"))]).collect()]
+    assert set(got[0]) == {"t", "v", "v_c d", "v_n_k", "it's"}
+    assert (got[0]["t"], got[0]["v"]) == ("a", "plain") and (got[1]["v"], got[1]["v_c d"], got[1]["v_n_k"]) == (None, "x", "1") and got[2]["v"] == "[1,2]"
+    assert all(x is None for r in got[3:] for x in r.values())
+    assert json_fields(df.limit(0), F.col("j")) == []
 
 
 def test_hierarchy(spark, scratch):
@@ -160,6 +183,22 @@ def test_hierarchy(spark, scratch):
     assert [tuple(r) for r in other_links(df, scope="s", child="c", parent="p").collect()] == [("a", "two", "n3")]
 
 
+@pytest.mark.parametrize("blocks", [(1,), (1, 2, 8), (1, 16, 256, 4096)])
+def test_descent_blocks(spark, scratch, monkeypatch, blocks):
+    """Each pair once, whatever the sizes of the blocks, none with more points than the largest."""
+    monkeypatch.setattr("loomspan.operators.hierarchy.BLOCKS", blocks)
+    rows = [("a", f"n{i}", f"n{i // 3}") for i in range(1, 300)]
+    nested = scratch.save(hierarchy(spark.createDataFrame(rows, "s string, c string, p string"), scope="s", child="c", parent="p", scratch=scratch))
+    want = set()
+    for i in range(1, 300):
+        j, k = i, 0
+        while j:
+            j, k = j // 3, k + 1
+            want.add((f"n{j}", f"n{i}", k))
+    got = [(r.ancestor, r.descendant, r.distance) for r in descent(nested).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_hierarchy_empty(spark, scratch):
     df = spark.createDataFrame([("a", None, "x")], "s string, c string, p string")
     assert hierarchy(df, scope="s", child="c", parent="p", scratch=scratch).count() == 0
@@ -195,16 +234,33 @@ def test_balance(spark, scratch):
     assert counts == {k: (total[k[0]], n) for k, n in want.items()}
 
 
+def test_balance_is_obeyed(spark, scratch):
+    """Partitions are the planned tasks: none has over 1.2 times the mean, though one key has half of all rows, and the
+    join shuffles though its other side is tiny."""
+    left = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 7 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 900)).alias("k"))
+    right = left.groupBy("k").agg(F.count("*").alias("n"))
+    plan = plan_balance(measure(left, "k", scratch), "k", 8)
+    keyed = left.where("k is not null")
+    parts = [r["count"] for r in placed(fragment(keyed, "k", plan, ["id"]), plan).groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(parts) == 8 and max(parts) <= 1.2 * sum(parts) / 8
+    out = balanced_join(left, right, "k", plan, "left", ["id"])
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) <= 1.2 * sum(sizes) / 8
+    seen = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in seen and out.where("n is null").count() == left.where("k is null").count()
+
+
 def test_balance_empty(spark, scratch):
     left = spark.createDataFrame([], "id long, k string, v string")
     plan = plan_balance(measure(left, "k", scratch), "k", 3)
     assert balanced_join(left, left.select("k", F.lit(1).alias("x")), "k", plan).count() == 0
 
 
-def test_lookup(spark):
+def test_lookup(spark, monkeypatch):
     rows = [("h",)] * 300 + [(f"k{i}",) for i in range(20)] + [(None,)]
     left, right = spark.createDataFrame(rows, "k string"), spark.createDataFrame([("h", 1), ("k3", 2), ("no", 3)], "k string, x int")
-    for n in (None, 1000):
+    monkeypatch.setattr("loomspan.operators.skew.SMALL", 100)
+    for n in (None, 1000, 50):
         got = Counter((r.k, r.x) for r in lookup(left, right, "k", n).collect())
         assert got == Counter((k, {"h": 1, "k3": 2}.get(k)) for (k,) in rows)
 
