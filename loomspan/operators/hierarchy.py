@@ -1,15 +1,15 @@
 """Parent-child links into paths, depths, roots and descendants by nested-set ranges.
 
 Pointers to ancestors are doubled, so the number of rounds grows with the logarithm of the depth. The same rounds carry
-subtree sizes upward: after round k a node has counted its descendants nearer than 2^k. Nodes that have not met a root
-when a round finishes none are on circles or below them. Sibling ranges are then allotted by prefix sums, children of a
+subtree sizes upward: after round k a node has counted its descendants nearer than 2^k. Only nodes that have not met a
+root yet are moved and written. Those left when a round finishes none are on circles or below them. Sibling ranges are then allotted by prefix sums, children of a
 parent in slices so that no parent with many children is one task's work, and added up downward along the path by the
 same doubling. `lo <= x <= hi` on the preorder number tells descendants from then on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from loomspan.operators.skew import lookup
@@ -34,61 +34,79 @@ def hierarchy(links: DataFrame, *, scope: str, child: str, parent: str, scratch:
     child with several parents hangs below the smallest (`other_links` gives the rest); repeated links count once; a
     link to itself is a circle. Links with nulls are left out; no links, no rows.
     """
-    edges = scratch.save(primary_links(links, scope, child, parent))
     # one key for scope and node, as all joins need both
     ident = lambda c: F.struct(F.col("scope").alias("s"), F.col(c).alias("n"))
-    tops = edges.select("scope", F.col("parent").alias("child")).distinct().join(edges.select("scope", "child"), ["scope", "child"], "left_anti")
-    nodes = edges.select("scope", ident("child").alias("id"), ident("parent").alias("up"), F.lit(1).alias("hop")).unionByName(
-        tops.select("scope", ident("child").alias("id"), ident("child").alias("up"), F.lit(0).alias("hop"))
-    )
-    base = scratch.save(nodes)
-    n = base.count()
-    # done: `up` is a root. hop: how far up it is. size: descendants nearer than 2^k, the node itself included
-    roots = base.where("hop = 0").select(F.col("id").alias("up"), F.lit(True).alias("at_root"))
-    state = scratch.save(lookup(base, roots, "up", n).select("id", "up", "hop", F.coalesce("at_root", F.lit(False)).alias("done"), F.lit(1).cast("long").alias("size")))
-    reach, left, seen = 1, state.where("not done").count(), -1
-    while left and left != seen:
-        rise = state.where(f"hop = {reach} and id != up").groupBy(F.col("up").alias("id")).agg(F.sum("size").alias("more"))
-        above = state.select(F.col("id").alias("up"), F.col("up").alias("up2"), F.col("hop").alias("hop2"), F.col("done").alias("done2"))
-        rising = lookup(state.where("not done"), above, "up", left).select("id", F.col("up2").alias("up"), (F.col("hop") + F.col("hop2")).alias("hop"), F.col("done2").alias("done"), "size")
-        moved = state.where("done").unionByName(rising).join(rise, "id", "left")
-        state = scratch.save(moved.select("id", "up", "hop", "done", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size")), old=state)
-        reach *= 2
-        seen, left = left, state.where("not done").count()
-    # the last doubling left the roots' own children out if they lie exactly `reach` below
-    rise = state.where(f"done and hop = {reach}").groupBy(F.col("up").alias("id")).agg(F.sum("size").alias("more"))
-    sized = state.where("done").join(rise, "id", "left").select("id", F.col("up").alias("root"), F.col("hop").alias("depth"), (F.col("size") + F.coalesce("more", F.lit(0))).alias("size"))
-    tree = scratch.save(sized.join(base.select("id", F.col("up").alias("parent")), "id"), old=None)
+    edges = scratch.save(primary_links(links, scope, child, parent).select(ident("child").alias("id"), ident("parent").alias("up")))
+    # active: the way up isn't known yet, `up` is `hop` above. Settled: `up` is the root and `hop` the depth
+    active, n = edges.select("id", "up", F.lit(1).alias("hop"), F.lit(1).cast("long").alias("size")), edges.count()
+    tops = edges.select(F.col("up").alias("id")).distinct().join(edges.select("id"), "id", "left_anti")
+    settled, rounds, left = [scratch.save(tops.select("id", F.col("id").alias("up"), F.lit(0).alias("hop")))], [], n
+    while left:
+        rounds.append(active)
+        known = active.select("id", "up", "hop", F.lit(False).alias("done"))
+        for part in settled:
+            known = known.unionByName(part.select("id", "up", "hop", F.lit(True).alias("done")))
+        above = known.select(F.col("id").alias("up"), F.struct("up", "hop", "done").alias("at"))
+        risen = lookup(active, above, "up", n).select("id", F.struct(F.col("at.up").alias("up"), (F.col("hop") + F.col("at.hop")).alias("hop"), F.col("at.done").alias("done")).alias("to"), "size")
+        # what a node has below it, and what lies `hop` below adds to that, meet at the node
+        rise = active.groupBy(F.col("up").alias("id")).agg(F.sum("size").alias("size")).select("id", F.lit(None).cast(risen.schema["to"].dataType).alias("to"), "size")
+        met = risen.unionByName(rise).groupBy("id").agg(F.max("to").alias("to"), F.sum("size").alias("size")).where("to is not null")
+        seen = Observation()
+        moved = scratch.save(met.select("id", "to.*", "size").observe(seen, F.count_if(~F.col("done")).alias("left")))
+        settled.append(moved.where("done").select("id", "up", "hop"))
+        active = moved.where("not done").select("id", "up", "hop", "size")
+        before, left = left, seen.get["left"]
+        if left == before:  # none of them meets a root, however far up
+            break
+    done = settled[0].withColumn("top", F.lit(True))
+    for part in settled[1:]:
+        done = done.unionByName(part.withColumn("top", F.lit(False)))
+    parents = edges.select("id", F.col("up").alias("parent"))
+    below = edges.select(F.col("up").alias("id"), F.lit(0).cast("long").alias("size")).limit(0)
+    for part in rounds:
+        below = below.unionByName(part.select(F.col("up").alias("id"), "size"))
+    below = below.groupBy("id").agg(F.sum("size").alias("below"))
+    tree = done.join(below, "id", "left").join(parents, "id", "left")
+    tree = scratch.save(tree.select("id", F.coalesce("parent", "id").alias("parent"), F.col("up").alias("root"), F.col("hop").alias("depth"), (F.lit(1) + F.coalesce("below", F.lit(0))).alias("size")))
     ranges = _preorder(tree, n, scratch)
     good = ranges.select("id", "parent", "root", "depth", "size", "lo", (F.col("lo") + F.col("size") - 1).alias("hi"), F.lit(False).alias("cyclic"))
-    bad = state.where("not done").join(base.select("id", F.col("up").alias("parent")), "id").select(
-        "id", "parent", *[F.lit(None).cast(t).alias(c) for c, t in good.dtypes[2:7]], F.lit(True).alias("cyclic")
-    )
-    both = good.unionByName(bad)
-    return both.select(
-        F.col("id.s").alias("scope"), F.col("id.n").alias("node"), F.when(F.col("id") != F.col("parent"), F.col("parent.n")).alias("parent"),
+    if left:
+        bad = active.select("id").join(parents, "id")
+        good = good.unionByName(bad.select("id", "parent", *[F.lit(None).cast(t).alias(c) for c, t in good.dtypes[2:7]], F.lit(True).alias("cyclic")))
+    return good.select(
+        F.col("id.s").alias("scope"), F.col("id.n").alias("node"), F.when(F.col("parent") != F.col("id"), F.col("parent.n")).alias("parent"),
         F.col("root.n").alias("root"), F.col("depth").cast("int").alias("depth"), "size", "lo", "hi", "cyclic",
     )
 
 
+def _offsets(below: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, up, own): what the siblings before a node take, in the range below its parent."""
+    by_parent = lambda *more: Window.partitionBy("parent", *more)
+    wide = scratch.save(below.groupBy("parent").agg(F.ceil(F.count("*") / SLICE).alias("slices")).where("slices > 1"))  # fewer than rows / SLICE parents
+    if wide.isEmpty():
+        return below.select("id", F.col("parent").alias("up"), "depth", (F.sum("size").over(by_parent().orderBy("id")) - F.col("size")).alias("own"))
+    sliced = lookup(below, wide, "parent").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("slices", F.lit(1))))
+    totals = sliced.where("slices is not null").groupBy("parent", "part").agg(F.sum("size").alias("all"))
+    before = totals.select("parent", "part", (F.sum("all").over(by_parent().orderBy("part")) - F.col("all")).alias("before"))
+    within = sliced.withColumn("own", F.sum("size").over(by_parent("part").orderBy("id")) - F.col("size"))
+    return within.join(before, ["parent", "part"], "left").select("id", F.col("parent").alias("up"), "depth", (F.col("own") + F.coalesce("before", F.lit(0))).alias("own"))
+
+
 def _preorder(tree: DataFrame, rows: int, scratch: Scratch) -> DataFrame:
     """tree with lo, the preorder number of each node below its root."""
-    below = tree.where("depth > 0").withColumn("part", F.pmod(F.xxhash64("id"), F.lit(1 << 20)))
-    family = below.groupBy("parent").agg(F.ceil(F.count("*") / SLICE).alias("slices"))
-    wide = family.where("slices > 1")  # fewer than rows / SLICE parents
-    sliced = below.join(wide, "parent", "left").withColumn("part", F.pmod("part", F.coalesce("slices", F.lit(1))))
-    totals = sliced.where("slices is not null").groupBy("parent", "part").agg(F.sum("size").alias("all"))
-    before = totals.select("parent", "part", (F.sum("all").over(Window.partitionBy("parent").orderBy("part")) - F.col("all")).alias("before"))
-    own = F.sum("size").over(Window.partitionBy("parent", "part").orderBy("id")) - F.col("size")
-    offset = sliced.withColumn("own", own).join(before, ["parent", "part"], "left")
-    steps = offset.select("id", F.col("parent").alias("up"), (F.lit(1) + F.col("own") + F.coalesce("before", F.lit(0))).alias("lo"), "depth")
+    steps = _offsets(tree.where("depth > 0"), scratch).select("id", "up", (F.lit(1) + F.col("own")).alias("lo"), "depth")
     state = scratch.save(steps.unionByName(tree.where("depth = 0").select("id", F.col("id").alias("up"), F.lit(0).cast("long").alias("lo"), "depth")))
-    most, reach = state.agg(F.max("depth")).first()[0] or 0, 1
+    most, reach, passed = state.agg(F.max("depth")).first()[0] or 0, 1, []
     while reach < most:
         above = state.select(F.col("id").alias("up"), F.col("up").alias("up2"), F.col("lo").alias("lo2"))
+        for part in passed:  # nodes whose number is known aren't written again
+            above = above.unionByName(part.select(F.col("id").alias("up"), F.col("up").alias("up2"), F.col("lo").alias("lo2")))
         rising = lookup(state.where(f"depth > {reach}"), above, "up", rows).select("id", F.col("up2").alias("up"), (F.col("lo") + F.col("lo2")).alias("lo"), "depth")
-        state = scratch.save(state.where(f"depth <= {reach}").unionByName(rising), old=state)
+        passed.append(state.where(f"depth <= {reach}"))
+        state = scratch.save(rising)
         reach *= 2
+    for part in passed:
+        state = state.unionByName(part)
     return tree.join(state.select("id", "lo"), "id")
 
 
