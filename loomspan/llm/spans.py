@@ -4,17 +4,18 @@ Every window of `length` characters has a minimiser: the piece of `piece` charac
 next to each other mostly share it and so form one run of text, a super-k-mer. Runs are compared by their minimiser:
 
 1. Each text gives (minimiser, digest of the run, place) - no text yet. Minimisers of one text only drop out here.
-2. Runs with equal digests are one class. Minimisers with one class are settled: their windows are the same.
+2. Runs with equal minimiser, place of it and 128-bit digest of the text are one class: such digests count as the text
+   itself. Minimisers with one class are settled: their windows are the same.
 3. For the others, one run a class travels as a packed string to its minimiser's bucket, where its windows are sorted
    into groups of equal ones, compared as text. A minimiser with over `crowd` classes isn't put into one task: its
-   windows go to a shuffle by their digest.
+   windows are grouped in a shuffle by their text.
 
-The result is a list of groups of equal text with their places, from which both pairs and shared shares follow.
+The result is a list of groups of equal text with their places, from which both pairs and shared shares follow. A class
+that very many places belong to is cut into shards of places, its few groups copied to each.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,11 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loomspan.llm.groups import components, node
+from loomspan.operators.skew import lookup
 from loomspan.scratch import Scratch
 
 _BASE = 0x9E3779B97F4A7C15
 _PLACE = np.uint64((1 << 20) - 1)
 _STEP = 1 << 19
+#: Places of a class that one task joins in any case.
+HEAVY = 10_000
 _powers: list[np.ndarray] = []
 
 
@@ -192,7 +197,7 @@ def _windows(length: int):
         for batch in batches:
             for m, d1, d2, at, body in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 n = len(body) - length + 1
-                keys = [hashlib.md5(f"{at - o}|{body[o : o + length]}".encode("utf-8", "surrogatepass")).hexdigest() for o in range(n)]
+                keys = [f"{at - o}|{body[o : o + length]}" for o in range(n)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.string()), *[pa.array([v] * n, pa.int64()) for v in (m, d1, d2)], pa.array(range(n), pa.int32())], schema=_WINDOW
                 )
@@ -222,16 +227,29 @@ def shared_spans(documents: DataFrame, scratch: Scratch, length: int = 300, piec
     groups = small.mapInArrow(_buckets(length), _GROUP_DDL)
     large = packed.where(f"classes > {crowd}").drop("classes").mapInArrow(_windows(length), "key string, mini long, d1 long, d2 long, off int")
     twice = large.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    crowded = large.join(twice, "key", "left_semi").select(F.col("key").alias("gid"), "mini", "d1", "d2", "off", F.lit(length).alias("len"))
+    crowded = large.join(twice, "key", "left_semi").select(F.md5("key").alias("gid"), "mini", "d1", "d2", "off", F.lit(length).alias("len"))
     partial = groups.unionByName(crowded)
     whole = classes.where("n > 1").select(F.concat_ws(":", "mini", "d1", "d2").alias("gid"), "mini", "d1", "d2", F.lit(0).alias("off"), F.col("size").alias("len"))
-    places = kept.select("mini", "d1", "d2", "id", "start")
-    out = partial.unionByName(whole).join(places, ["mini", "d1", "d2"])
+    out = _placed(partial.unionByName(whole), kept.select("mini", "d1", "d2", "id", "start"), classes, found.sparkSession)
     return scratch.save(out.select("gid", "id", (F.col("start") + F.col("off")).alias("start"), "len").distinct())
 
 
+def _placed(groups: DataFrame, places: DataFrame, classes: DataFrame, spark) -> DataFrame:
+    """groups joined with the places of their class. Classes with over a quarter of a task's places are cut into shards:
+    there are at most 4 of them a task."""
+    tasks = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    fair = max((classes.agg(F.sum("n")).first()[0] or 0) / (4 * tasks), HEAVY)
+    heavy = classes.where(F.col("n") > fair).select("mini", "d1", "d2", F.ceil(F.col("n") / fair).cast("int").alias("shards"))
+    on = ["mini", "d1", "d2"]
+    shards = F.coalesce("shards", F.lit(1))
+    left = groups.join(F.broadcast(heavy), on, "left").withColumn("shard", F.explode(F.sequence(F.lit(0), shards - 1))).drop("shards")
+    right = places.join(F.broadcast(heavy), on, "left").withColumn("shard", F.pmod(F.xxhash64("id", "start"), shards).cast("int")).drop("shards")
+    return left.join(right, [*on, "shard"])
+
+
 def shared_pairs(spans: DataFrame) -> DataFrame:
-    """(a, b): the ids, smaller first, of every two records with a common group."""
+    """(a, b): the ids, smaller first, of every two records with a common group. Spelled out, a group gives the square of
+    its members; `spans` itself and `shared_classes` say who shares what without it."""
     members = spans.select("gid", "id").distinct()
     # equal sets of members come from many windows: keep one group of each
     sets = members.groupBy("gid").agg(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("h1"), F.sum(F.xxhash64(F.lit("again"), "id").cast("decimal(38,0)")).alias("h2"))
@@ -241,6 +259,20 @@ def shared_pairs(spans: DataFrame) -> DataFrame:
     return pairs.select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
 
 
+def shared_classes(spans: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, class, n_records, n_groups) of every record that shares a span: the smallest id of the records that it is
+    linked to, directly or through others, how many these are, and the groups of equal text that it has a part in."""
+    members = scratch.save(spans.select("gid", "id").distinct())
+    several = members.groupBy("gid").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("gid")
+    linked = scratch.save(members.join(several, "gid", "left_semi"))
+    label = node(F.col("id").cast("string"))
+    merged = components(linked.select(label.alias("a"), F.col("gid").alias("b")), scratch)
+    own = linked.groupBy("id", label.alias("a")).agg(F.count("*").alias("n_groups"))
+    placed = lookup(own, merged, "a").select("id", F.coalesce("component", "a").alias("class"), "n_groups")
+    sizes = placed.groupBy("class").agg(F.count("*").alias("n_records"), F.min("id").alias("first"))
+    return lookup(placed, sizes, "class").select("id", F.col("first").alias("class"), "n_records", "n_groups")
+
+
 def shared_share(documents: DataFrame, spans: DataFrame) -> DataFrame:
     """(id, n_chars, n_shared, share): how much of each record stands in another one too. Null and empty texts share 0."""
     others = spans.groupBy("gid").agg(F.min("id").alias("l"), F.max("id").alias("h")).where("l != h").select("gid")
