@@ -16,12 +16,9 @@ HEBREW_PRONOUNS = {
     "זה": 3, "בזה": 3, "הם": 4, "הן": 4, "שלהם": 4, "שלהן": 4, "בשלהם": 4, "בשלהן": 4,
 }
 HEBREW_POSSESSIVE = ("שלו", "שלה", "שלהם", "שלהן")
-MALE_QIDS = ("Q15145778", "Q179294", "Q44148", "Q499327", "Q6581097")
-FEMALE_QIDS = ("Q15145779", "Q43445", "Q6581072")
-OTHER_GENDER_QIDS = (
-    "novalue", "Q1052281", "Q1097630", "Q1289754", "Q12964198", "Q18116794", "Q189125", "Q207959", "Q2333502", "Q2449503", "Q27679684",
-    "Q27679766", "Q301702", "Q3277905", "Q4233718", "Q48270", "Q505371", "Q52261234", "Q660882", "Q7130936", "Q859614", "somevalue",
-)
+GENDERS = {
+    "Q15145778": 1, "Q179294": 1, "Q44148": 1, "Q499327": 1, "Q6581097": 1, "Q15145779": 2, "Q43445": 2, "Q6581072": 2,
+}
 HUMANS = ("Q5", "Q159979")
 DISAMBIGUATION = ("Q4167410", "Q22808320")
 ALIAS_PROPERTIES = (

@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomspan.functions.languages import ENGLISH, Language
+from loomspan.functions.languages import ENGLISH, TITLES, Language
 
 
 def normal_alias(s: str | None, strip: bool = True, lower: bool = True, form: str = "NFD") -> str | None:
@@ -129,9 +129,14 @@ def word_spans(c: Column | str) -> Column:
 
 
 def ngrams(words: Column, n: int) -> Column:
-    """array<string>: the n-grams of an array of words, joined by blanks."""
-    last = F.size(words) - n
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(words, i + 1, n), " "))).otherwise(F.expr("cast(array() as array<string>)"))
+    """array<string>: the n-grams of an array of words, joined by blanks; null for null. The array is bound once: in a
+    lambda, an expression that makes it would run anew for every n-gram."""
+
+    def of(w: Column) -> Column:
+        last = F.size(w) - n
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(w, i + 1, n), " "))).otherwise(F.expr("cast(array() as array<string>)"))
+
+    return F.get(F.transform(F.array(words), of), F.lit(0))
 
 
 def pad(values: Column, k: int, filler: Column) -> Column:
@@ -159,6 +164,21 @@ def partial_ratio(a: str, b: str) -> float:
     return 100 * best
 
 
+def first_last(name: Column, language: Language = ENGLISH) -> Column:
+    """struct<first, last>, "" where there is none: what stands in brackets and titles before or behind a name don't
+    count; one word is a first name. JVM only, as Language.name_parts."""
+    words = F.filter(F.split(F.regexp_replace(name, r"\([^)]*\)", " "), r"\s+"), lambda w: w != "")
+    if not language.last_name:
+        return F.struct(F.coalesce(F.get(words, F.lit(0)), F.lit("")).alias("first"), F.lit("").alias("last"))
+    if language.code == "he":
+        rest = F.replace(F.array_join(F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), " "), F.lit("-"), F.lit(" "))
+        return F.struct(F.coalesce(F.get(words, F.lit(0)), F.lit("")).alias("first"), rest.alias("last"))
+    plain = F.filter(words, lambda w: ~F.rtrim(F.lower(w), F.lit(".")).isin(*sorted(TITLES)))
+    kept = F.when(F.size(plain) > 0, plain).otherwise(words)
+    last = F.when(F.size(kept) > 1, F.element_at(kept, -1)).otherwise("")
+    return F.struct(F.coalesce(F.get(kept, F.lit(0)), F.lit("")).alias("first"), last.alias("last"))
+
+
 def proper_phrases(words: Column, stop: frozenset[str]) -> Column:
     """Maximal runs of capitalised words, the first of them no stop word, and each word of these runs; distinct."""
     capital = lambda w: w.rlike(r"^\p{Lu}")

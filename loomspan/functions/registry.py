@@ -53,3 +53,30 @@ def with_either(s: DataFrame, keep: DataFrame) -> DataFrame:
 @sentence_filter
 def with_aliases(s: DataFrame, aliases: list[str]) -> DataFrame:
     return short(s).where(F.arrays_overlap("aliases", F.array(*map(F.lit, aliases))))
+
+
+#: Loaders of the side tables that filters need, by name.
+PREPS: dict[str, Callable[..., DataFrame]] = {}
+
+
+def prep_function(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    PREPS[f.__name__] = f
+    return f
+
+
+@prep_function
+def qids_of_relation(triples: DataFrame, relation: str) -> DataFrame:
+    """(qid): heads of a relation."""
+    return triples.where(F.col("rel") == relation).select(F.col("head").alias("qid")).where("qid is not null").distinct()
+
+
+@prep_function
+def qids_of_pairs(triples: DataFrame, relation: str) -> DataFrame:
+    """(qid): heads and tails of a relation."""
+    t = triples.where(F.col("rel") == relation)
+    return t.select(F.col("head").alias("qid")).unionByName(t.select(F.col("tail").alias("qid"))).where("qid is not null").distinct()
+
+
+def filtered(sentences: DataFrame, name: str, prep: str | None = None, *args: object) -> DataFrame:
+    """A filter by name, its side table made by a prep function by name."""
+    return FILTERS[name](sentences, PREPS[prep](*args)) if prep else FILTERS[name](sentences, *args)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from loomspan.functions.normal import partial_ratio
+from loomspan.operators.candidates import top_k
 
 #: Query names and concept names that meet in one call of the tf-idf join, and the scores it holds at a time.
 NAMES_AT_ONCE, CONCEPTS_AT_ONCE, SCORES_AT_ONCE = 4096, 20_000, 4_000_000
@@ -176,8 +179,48 @@ def tfidf_candidates(queries: DataFrame, concepts: DataFrame, k: int, n: int = 3
     return near.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
 
 
-#: Candidate generators by name.
-GENERATORS = {"standard": judged, "list": judged, "contextual": merged_ranking}
+@dataclass
+class RecallRun:
+    """What a recall run leaves behind: the mentions kept, the errors, the figures, and the alias map that it needs."""
+
+    kept: DataFrame
+    errors: DataFrame
+    figures: DataFrame
+    aliases: DataFrame
+
+
+def recall_run(golds: DataFrame, candidates: DataFrame, sentence: str = "sent_idx_unq", by: list[str] | None = None) -> RecallRun:
+    """Golds (sentence, pos, alias, qid, gold, ...) against candidates (alias, qid, score).
+
+    kept: found mentions of sentences of which at least one golden mention is found. errors: the others with their
+    outcome. figures: totals, by the columns given. aliases: the candidates of the aliases of what is kept."""
+    all_ = judged(golds, candidates)
+    found = all_.where("outcome = 'found'")
+    good = found.where("gold").select(sentence).distinct()
+    kept = found.join(good, sentence, "left_semi")
+    names = candidates.join(kept.select("alias").distinct(), "alias", "left_semi").select("alias", "qid", "score")
+    return RecallRun(kept.drop("outcome"), all_.where("outcome != 'found'"), recall(all_, by or []), names)
+
+
+#: Candidate generators by name: (asked (mention, alias), candidates, k) -> (mention, qid, rank).
+GENERATORS: dict[str, object] = {}
+
+
+def generator(f):
+    GENERATORS[f.__name__] = f
+    return f
+
+
+@generator
+def standard(asked: DataFrame, candidates: DataFrame, k: int = 30) -> DataFrame:
+    """The first k candidates of the alias itself."""
+    return asked.select("mention", "alias").join(top_k(candidates, k), "alias").select("mention", "qid", "rank")
+
+
+@generator
+def backoff(asked: DataFrame, candidates: DataFrame, k: int = 30) -> DataFrame:
+    """The first k of the alias or of its longest known parts."""
+    return asked.select("mention", "alias").join(top_k(backed_off(asked, candidates), k), "alias").select("mention", "qid", "rank")
 
 
 def contextual_scores(cands: DataFrame, hits: DataFrame) -> DataFrame:
@@ -195,3 +238,10 @@ def split_by_start(documents: DataFrame, order: str, starts: dict[str, int]) ->
     for name, first in sorted(starts.items(), key=lambda x: x[1]):
         out = F.when(F.col(order) >= first, name).otherwise(out)
     return documents.withColumn("split", out)
+
+
+def split_counts(documents: DataFrame, expected: dict[str, int]) -> DataFrame:
+    """(split, n, is_expected): documents of each split, and whether they are as many as expected."""
+    want = documents.sparkSession.createDataFrame(list(expected.items()), "split string, want long")
+    n = documents.groupBy("split").agg(F.count("*").alias("n"))
+    return n.join(want, "split", "full").select("split", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("n", F.lit(0)).eqNullSafe(F.col("want")).alias("is_expected"))

@@ -65,7 +65,7 @@ def normalised(counts: DataFrame, key: str, cnt: str = "cnt") -> DataFrame:
 
 
 def prune_common(candidates: DataFrame, alias_counts: DataFrame, text_counts: DataFrame, keep_base: bool = False) -> DataFrame:
-    """(alias, n_candidates, reason): common phrases among aliases; reason is null for those to keep.
+    """(alias, n_candidates, in_text, reason): common phrases among aliases; reason is null for those to keep.
 
     An alias that no mention has: kept if texts hold it under 500 times or it has one candidate, else `never_alias`. An
     alias that texts hold over 500 times and mentions under 10,000 times, in under 1.7 % of cases: `rarely_alias`.
@@ -75,7 +75,7 @@ def prune_common(candidates: DataFrame, alias_counts: DataFrame, text_counts: Da
     seen, used = F.coalesce("in_text", F.lit(0)), F.coalesce("as_alias", F.lit(0))
     never = (used == 0) & (seen >= 500) & (F.col("n_candidates") > 1) & F.lit(not keep_base)
     rarely = (used > 0) & (seen > 500) & (used < 10000) & (used / seen < 0.017)
-    return both.select("alias", "n_candidates", F.when(never, "never_alias").when(rarely, "rarely_alias").alias("reason"))
+    return both.select("alias", "n_candidates", seen.alias("in_text"), F.when(never, "never_alias").when(rarely, "rarely_alias").alias("reason"))
 
 
 def padded(candidates: DataFrame, k: int, filler: str = "-1") -> DataFrame:

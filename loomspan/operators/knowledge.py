@@ -24,10 +24,10 @@ def snak_value(datatype: Column, datavalue: Column, language: str) -> Column:
     )
 
 
-def staging(records: DataFrame, language: str = "en") -> dict[str, DataFrame]:
+def staging(records: DataFrame, language: str = "en", ignored: tuple[str, ...] = IGNORED_DATATYPES) -> dict[str, DataFrame]:
     """The eight staging tables of dump records; properties are skipped, as are snaks that aren't values.
 
-    `errors` holds the datatypes that are neither read nor ignored."""
+    `errors` holds the datatypes that are neither read nor among the ignored ones."""
     items = records.where("id is not null and not (type <=> 'property')")
     label = items.select(F.col("id").alias("qid"), F.get(F.array(F.col("labels")[language]["value"]), F.lit(0)).alias("label")).where("label is not null")
     claims = items.select(F.col("id").alias("qid"), F.explode("claims").alias("property_id", "list")).select("qid", "property_id", F.explode("list").alias("c"))
@@ -49,7 +49,7 @@ def staging(records: DataFrame, language: str = "en") -> dict[str, DataFrame]:
         "entity_rels": good.where("datatype = 'wikibase-item'").select(*four),
         "qualifiers": qualifiers.where("value is not null"),
         "wikipedia_links": items.select(F.col("id").alias("qid"), F.col("sitelinks")[f"{language}wiki"]["title"].alias("wiki_title")).where("wiki_title is not null"),
-        "errors": valued.where(~F.col("datatype").isin(*PLAIN, "monolingualtext", "quantity", "time", "wikibase-item", *IGNORED_DATATYPES)).select("qid", "property_id", "datatype"),
+        "errors": valued.where(~F.col("datatype").isin(*PLAIN, "monolingualtext", "quantity", "time", "wikibase-item", *ignored)).select("qid", "property_id", "datatype"),
     }
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 import string
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomspan.functions.languages import ENGLISH, FEMALE_QIDS, MALE_QIDS, UNKNOWN, Language
+from loomspan.functions.languages import ENGLISH, GENDERS, UNKNOWN, Language
 from loomspan.functions.normal import normal_alias, sha1_bucket, span_overlap, word_spans
 
 
@@ -33,7 +34,7 @@ def leading_pronoun(tokens: DataFrame, doc: str) -> DataFrame:
 
 def person_gender(pages: DataFrame, persons: DataFrame, genders: DataFrame) -> DataFrame:
     """(qid, gender): 1 or 2 by the gender map, 5 for others, -1 persons without a gender, -2 no person."""
-    mapped = F.when(F.col("gender_qid").isin(*MALE_QIDS), 1).when(F.col("gender_qid").isin(*FEMALE_QIDS), 2).otherwise(UNKNOWN)
+    mapped = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in GENDERS.items() for x in kv]), F.col("gender_qid")), F.lit(UNKNOWN))
     one = genders.groupBy("qid").agg(F.max("value").alias("gender_qid"))
     out = pages.select("qid").distinct().join(persons.select("qid", F.lit(True).alias("person")).distinct(), "qid", "left").join(one, "qid", "left")
     return out.select("qid", F.when(F.col("person").isNull(), -2).when(F.col("gender_qid").isNull(), -1).otherwise(mapped).alias("gender"))
@@ -56,14 +57,15 @@ def pronoun_mentions(tokens: DataFrame, gender: DataFrame, aliases: DataFrame, d
 def choose_aliases(mentions: DataFrame, ranked: DataFrame, k: int) -> DataFrame:
     """mentions (id, alias, qid) with `new_alias`: unknown entities keep theirs, as do those among the first k of an
     ambiguous alias; others take the alias of the entity with most candidates among whose first k it is; else one that
-    lists it among its first k, by a hash of the mention; else their own."""
+    lists it among its first k, by the first 32 bits of the SHA-1 of `id|qid`; else their own."""
     size = ranked.groupBy("alias").agg(F.count("*").alias("n"))
     near = ranked.where(F.col("rank") <= k).select("alias", "qid").join(size, "alias")
     best = near.where("n > 1").groupBy("qid").agg(F.max_by("alias", F.struct("n", "alias")).alias("best"))
     spare = near.groupBy("qid").agg(F.sort_array(F.collect_set("alias")).alias("spare"))
     own = near.where("n > 1").select("alias", "qid", F.lit(True).alias("fits"))
     out = mentions.join(own, ["alias", "qid"], "left").join(best, "qid", "left").join(spare, "qid", "left")
-    pick = F.get("spare", F.pmod(F.xxhash64("id", "qid"), F.size("spare")).cast("int"))
+    number = F.conv(F.substring(F.sha1(F.concat_ws("|", F.col("id").cast("string"), "qid")), 1, 8), 16, 10).cast("long")
+    pick = F.get("spare", F.pmod(number, F.size("spare")).cast("int"))
     return out.withColumn("new_alias", F.when(F.col("qid").isNull() | F.col("fits"), F.col("alias")).otherwise(F.coalesce("best", pick, "alias"))).drop("fits", "best", "spare")
 
 
@@ -164,27 +166,67 @@ def unswapped(aliases: Column, unswap: Column, gold: Column) -> Column:
     return F.transform(zipped, lambda m: F.when(m["g"] & m["u"].isNotNull(), m["u"]).otherwise(m["a"]))
 
 
-#: Labelling functions by name: DataFrame -> DataFrame of mentions.
+@dataclass(frozen=True)
+class Labelling:
+    """What labelling functions see: the sentences' n-grams (sent, doc, n, start, end, alias), the aliases that each page's
+    votes give to its own entity (doc, alias, qid), and the mentions so far (sent, start, end, alias, qid, source)."""
+
+    grams: DataFrame
+    own: DataFrame
+    mentions: DataFrame
+
+
+#: Labelling functions by name: Labelling -> new mentions (sent, start, end, alias, qid).
 LABELLERS: dict[str, object] = {}
 
 
 def labelling_function(f):
-    """Register a labelling function under its name."""
+    """Register a labelling function under its name, which becomes its mentions' source; `gold` is taken."""
+    if f.__name__ == "gold":
+        raise ValueError("gold is the source of the mentions given")
     LABELLERS[f.__name__] = f
     return f
 
 
 @labelling_function
-def golds(mentions: DataFrame) -> DataFrame:
-    """Mentions as they are."""
-    return mentions
+def golds(given: Labelling) -> DataFrame:
+    """Nothing beyond the mentions given."""
+    return given.mentions.select("sent", "start", "end", "alias", "qid").limit(0)
 
 
 @labelling_function
-def aka(grams: DataFrame, votes: DataFrame, doc: str = "doc") -> DataFrame:
-    """N-grams that are aliases of the page's entity and for which the page's votes name it. votes: (doc, alias, qid)
-    restricted to the page's own entity."""
-    return grams.join(votes.select(doc, F.col("alias")), [doc, "alias"], "left_semi")
+def aka(given: Labelling) -> DataFrame:
+    """N-grams that are aliases of the page's entity and for which the page's votes name it, the longest first, none
+    overlapping another or a mention."""
+    hit = given.grams.join(given.own, ["doc", "alias"])
+    picked = greedy_spans(hit.select("sent", "n", "start", "end", F.concat_ws("\t", "qid", "alias").alias("alias")), ["sent"], given.mentions.where("start is not null and end is not null").select("sent", "start", "end"))
+    return picked.select("sent", "start", "end", F.substring_index("alias", "\t", -1).alias("alias"), F.substring_index("alias", "\t", 1).alias("qid"))
+
+
+def weak_labels(sents: DataFrame, mentions: DataFrame, own: DataFrame, ranked: DataFrame, *, most_words: int, k: int = 30, permute: bool = True, names: list[str] | None = None, language: Language = ENGLISH) -> DataFrame:
+    """(sent, aliases, unswap_aliases, char_spans, qids, gold, sources): the sentences with their mentions and those that
+    the labelling functions, all or the named ones in turn, find.
+
+    sents: (sent, doc, sentence), mentions: (sent, start, end, alias, qid), own: (doc, alias, qid), ranked: (alias, qid,
+    rank). Each function sees what those before it found. Mentions are sorted by span, null spans first. With `permute`
+    each gets a more ambiguous alias by choose_aliases, unswap_aliases keeps the one before. Sentences without mentions
+    have empty arrays; null sentences only their own mentions."""
+    grams = candidate_grams(sents.where("sentence is not null"), ["sent", "doc"], "sentence", most_words, language)
+    grams = grams.join(own.select("doc", "alias").distinct(), ["doc", "alias"], "left_semi")
+    every = mentions.select("sent", "start", "end", "alias", "qid", F.lit("gold").alias("source"))
+    for name in names or list(LABELLERS):
+        every = every.unionByName(LABELLERS[name](Labelling(grams, own, every)).withColumn("source", F.lit(name)))
+    every = every.withColumn("unswap", F.col("alias"))
+    if permute:
+        identified = every.withColumn("id", F.concat_ws(":", "sent", "start", "end", "source"))
+        every = choose_aliases(identified, ranked, k).withColumn("alias", F.col("new_alias"))
+    packed = every.groupBy("sent").agg(F.sort_array(F.collect_list(F.struct("start", "end", "source", "qid", "alias", "unswap"))).alias("m"))
+    at = lambda f: F.coalesce(F.transform("m", f), F.expr("array()"))
+    out = sents.select("sent").join(packed, "sent", "left")
+    return out.select(
+        "sent", at(lambda x: x["alias"]).alias("aliases"), at(lambda x: x["unswap"]).alias("unswap_aliases"), at(lambda x: F.array(x["start"], x["end"])).alias("char_spans"),
+        at(lambda x: x["qid"]).alias("qids"), at(lambda x: x["source"] == "gold").alias("gold"), at(lambda x: x["source"]).alias("sources"),
+    )
 
 
 def swap_pronouns(sents: DataFrame, swaps: DataFrame, key: str, text: str, mentions: str) -> DataFrame:

@@ -123,3 +123,66 @@ def record_store(pairs: DataFrame, key: str, value: str, order: str, most: int)
     """key -> values in order, cut at most: the fixed-width records of a store, without padding."""
     packed = pairs.where(F.col(key).isNotNull()).groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, value))).alias("v"))
     return packed.select(key, F.slice(F.transform("v", lambda x: x[value]), 1, most).alias("values"))
+
+
+@dataclass(frozen=True)
+class SliceSymbols:
+    """What slices of a corpus are made by: mention counts (qid, n), candidates (alias, qid, rank), typings by name (qid,
+    type_ids), neighbours (qid, neighbour), relations (head, tail, rel) and word bags of types (type_id, word, n)."""
+
+    counts: DataFrame
+    candidates: DataFrame
+    typings: dict[str, DataFrame]
+    neighbours: DataFrame
+    relations: DataFrame
+    bags: DataFrame
+
+    @classmethod
+    def build(cls, mentions: DataFrame, candidates: DataFrame, typings: dict[str, DataFrame], neighbours: DataFrame, relations: DataFrame, words: DataFrame, most: int = 50) -> SliceSymbols:
+        """mentions: (qid), one row each. typings: name -> (qid, type, rank); a typing without rows leaves an empty one.
+        words: (qid, word) as they stand near mentions; a type's bag has its `most` words by count, then word. The first
+        typing that has rows names the types of the bags."""
+        counts = mentions.where("qid is not null").groupBy("qid").agg(F.count("*").alias("n"))
+        packed = {name: record_store(t, "qid", "type", "rank", most) for name, t in typings.items()}
+        first = next((t for t in typings.values() if not t.isEmpty()), next(iter(typings.values())))
+        each = words.where("word is not null").groupBy("qid", "word").agg(F.count("*").alias("n")).join(first.select("qid", "type"), "qid").groupBy("type", "word").agg(F.sum("n").alias("n"))
+        bags = top_k(each, most, key="type", score="n", item="word").select("type", "word", "n")
+        return cls(counts, ranked(candidates).select("alias", "qid", "rank"), packed, neighbours, relations, bags)
+
+    def qid_counts(self, qids: DataFrame) -> DataFrame:
+        """(qid, n): 0 for entities without mentions."""
+        return qids.select("qid").distinct().join(self.counts, "qid", "left").select("qid", F.coalesce("n", F.lit(0)).alias("n"))
+
+    def types(self, qids: DataFrame, typing: str) -> DataFrame:
+        """(qid, types): empty for entities without types and typings that aren't known."""
+        of = self.typings.get(typing)
+        asked = qids.select("qid").distinct()
+        empty = F.expr("cast(array() as array<string>)")
+        return asked.withColumn("types", empty) if of is None else asked.join(of, "qid", "left").select("qid", F.coalesce("values", empty).alias("types"))
+
+    def is_typed(self, qids: DataFrame) -> DataFrame:
+        """qid and, for each typing, whether the entity is in it."""
+        out = qids.select("qid").distinct()
+        for name, of in self.typings.items():
+            out = out.join(of.select("qid", F.lit(True).alias(f"in_{name}")), "qid", "left").withColumn(f"in_{name}", F.coalesce(f"in_{name}", F.lit(False)))
+        return out
+
+    def relation(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, rel, n): the first relation by name from a to b, else from b to a, and how many there are either way."""
+        one = pairs.join(self.relations.select(F.col("head").alias("a"), F.col("tail").alias("b"), "rel", F.lit(0).alias("way")), ["a", "b"])
+        two = pairs.join(self.relations.select(F.col("tail").alias("a"), F.col("head").alias("b"), "rel", F.lit(1).alias("way")), ["a", "b"])
+        both = one.unionByName(two).groupBy("a", "b").agg(F.min(F.struct("way", "rel")).alias("first"), F.countDistinct("rel").alias("n"))
+        return both.select("a", "b", F.col("first.rel").alias("rel"), "n")
+
+    def save(self, path: str) -> None:
+        for name, df in self._tables().items():
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
+
+    def _tables(self) -> dict[str, DataFrame]:
+        tables = {k: getattr(self, k) for k in ("counts", "candidates", "neighbours", "relations", "bags")}
+        return tables | {f"typing={k}": v for k, v in self.typings.items()}
+
+    @classmethod
+    def load(cls, spark, path: str, typings: list[str]) -> SliceSymbols:
+        read = lambda name: spark.read.parquet(f"{path}/{name}")
+        return cls(read("counts"), read("candidates"), {k: read(f"typing={k}") for k in typings}, read("neighbours"), read("relations"), read("bags"))

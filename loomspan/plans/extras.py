@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomspan.functions import normal as N
 from loomspan.functions.languages import ENGLISH
-from loomspan.functions.text import fold_alias
+from loomspan.functions.text import fold_alias, key
 from loomspan.operators import benchmarks as B
 from loomspan.operators import candidates as C
 from loomspan.operators import labelling as L
@@ -15,7 +15,7 @@ from loomspan.operators import resolve as R
 from loomspan.plans.catalog import Catalog
 from loomspan.plans.reference import CANDS, FOLD, KNOWN, ONE, RANKED, TITLES, cands, mentions, titles
 from loomspan.scratch import Scratch
-from loomspan.sources import files
+from loomspan.sources import corpora, files
 
 CATALOG = Catalog()
 query = CATALOG.query
@@ -78,12 +78,12 @@ def fn23_map_access(t):
     return d.select("line_no", F.array_join(F.sort_array(F.map_keys("labels")), "|").alias("langs"), F.coalesce(F.try_element_at("labels", F.lit("fr"))["value"], F.lit("none")).alias("fr"))
 
 
-@query("select sent_idx_unq, array_to_string(list_sort(list_distinct(list_filter(list_concat(coalesce(aliases, []), coalesce(unswap_aliases, [])), lambda x: x is not null))), '|') as names, coalesce(list_position(aliases, 'Kesruthrol') - 1, -1)::bigint as at from sentences")
+@query("select sent_idx_unq, array_to_string(list_sort(list_distinct(list_filter(list_concat(coalesce(aliases, []), coalesce(unswap_aliases, [])), lambda x: x is not null))), '|') as names, case when unswap_aliases[1] is null then -1 else coalesce(list_position(aliases, unswap_aliases[1]) - 1, -1) end::bigint as at from sentences")
 def fn21_arrays(t):
     """Concatenation, filter and position in arrays."""
     e = F.expr("cast(array() as array<string>)")
     names = F.array_sort(F.array_distinct(F.array_compact(F.concat(F.coalesce("aliases", e), F.coalesce("unswap_aliases", e)))))
-    return t.sentences.select("sent_idx_unq", F.array_join(names, "|").alias("names"), F.coalesce(F.nullif(F.array_position("aliases", "Kesruthrol"), F.lit(0)) - 1, F.lit(-1)).cast("long").alias("at"))
+    return t.sentences.select("sent_idx_unq", F.array_join(names, "|").alias("names"), F.coalesce(F.nullif(F.array_position("aliases", F.get("unswap_aliases", F.lit(0))), F.lit(0)) - 1, F.lit(-1)).cast("long").alias("at"))
 
 
 @query("select distinct title, replace(title, '_', ' ') as plain from title_map where title is not null")
@@ -157,10 +157,33 @@ def bm02_contextual(t):
     return asked.select("mention").join(ranked, "mention", "left")
 
 
-@query("select doc_id, case when doc_id >= 900 then 'testb' when doc_id >= 700 then 'testa' else 'train' end as split from documents")
+_STARTS = "b as (select min(doc_id) + (7 * (max(doc_id) - min(doc_id))) // 10 as a, min(doc_id) + (9 * (max(doc_id) - min(doc_id))) // 10 as b from documents)"
+
+
+def _by_start(t):
+    low, high = t.documents.agg(F.min("doc_id"), F.max("doc_id")).first()
+    low, high = low or 0, high or 0
+    return B.split_by_start(t.documents.select("doc_id"), "doc_id", {"train": low, "testa": low + 7 * (high - low) // 10, "testb": low + 9 * (high - low) // 10})
+
+
+@query(f"with {_STARTS} select doc_id, case when doc_id >= b then 'testb' when doc_id >= a then 'testa' else 'train' end as split from documents, b")
 def bm08_split_by_start(t):
-    """A fixed split by document number (bm07)."""
-    return B.split_by_start(t.documents.select("doc_id"), "doc_id", {"train": -(1 << 62), "testa": 700, "testb": 900})
+    """A fixed split by document number: seven tenths, two and one."""
+    return _by_start(t)
+
+
+@query(f"with {_STARTS}, s as (select case when doc_id >= b then 'testb' when doc_id >= a then 'testa' else 'train' end as split from documents, b), n as (select split, count(*) as n from s group by split) select split, n, n = (case split when 'train' then n else 0 end) as is_expected from n")
+def bm08_split_counts(t):
+    """Documents of each split against the counts that they must have: right for train, wrong ones for the others."""
+    train = _by_start(t).where("split = 'train'").count()
+    return B.split_counts(_by_start(t), {"train": train, "testa": 0, "testb": 0})
+
+
+@query("with l as (select doc_id % 7 as pmid, case when doc_id % 7 < 2 then 'dev' when doc_id % 7 = 2 then 'test' end as split from documents group by all) select doc_id, l.split from documents d left join l on l.pmid = d.doc_id % 7")
+def bm07_split_by_list(t):
+    """Documents with the split that lists of numbers name; null for those in none."""
+    lists = t.spark.createDataFrame([("0", "dev"), ("1", "dev"), ("2", "test"), ("2", "test")], "pmid string, split string")
+    return corpora.split_by_list(t.documents.select("doc_id", (F.col("doc_id") % 7).cast("string").alias("pmid")), lists).select("doc_id", "split")
 
 
 # readers and writers by round trip
@@ -170,12 +193,12 @@ def _folder(t, name: str) -> str:
     return Scratch(t.spark, name).root
 
 
-@query("select distinct qid as head, property_id as rel, value as tail from entity_rels where qid is not null and property_id is not null and value is not null and not regexp_matches(qid || property_id || value, '[\\s\"\\\\]') and value <> ''")
+@query("select distinct upper(trim(qid)) as head, upper(trim(property_id)) as rel, value as tail from entity_rels where trim(qid) <> '' and trim(property_id) <> '' and value is not null")
 def sc10_space_triples(t):
-    """Triples written and read again as text with blanks between (sc11)."""
+    """Triples written and read again as text with blanks between, whatever stands in the value (sc11)."""
     path = _folder(t, "sc10")
-    e = t.entity_rels.where(r"qid is not null and property_id is not null and value is not null and value != '' and not concat(qid, property_id, value) rlike '[\\s\"\\\\]'")
-    e.select(F.concat_ws(" ", "qid", "property_id", "value")).distinct().write.text(path)
+    e = t.entity_rels.select(key("qid").alias("head"), key("property_id").alias("rel"), "value").dropna()
+    e.select(F.concat_ws(" ", "head", "rel", "value")).distinct().write.text(path)
     return files.space_triples(t.spark, path)
 
 

@@ -22,6 +22,16 @@ oracle_sql = lambda: CATALOG.sql
 
 FOLD = "trim(regexp_replace(lower({}), '\\s+', ' ', 'g'))"
 LNRM = "trim(regexp_replace(regexp_replace(strip_accents(lower({})), '[^\\p{{L}}\\p{{N}} ]', '', 'g'), ' +', ' ', 'g'))"
+#: HTML entities, and how SQL undoes them.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&amp;", "&"))
+
+
+def _unescaped(c: str) -> str:
+    for name, plain in ENTITIES:
+        c = f"replace({c}, '{name}', '{plain}')"
+    return c
+
+
 #: A row per mention.
 ONE = f"""m as (
   select sent_idx_unq, parent_qid, parent_title, sentence, split, source, i - 1 as pos, aliases[i] as alias, titles[i] as title, qids[i] as qid, char_spans[i][1] as s, char_spans[i][2] as e,
@@ -72,11 +82,18 @@ def fn04_ngrams(t):
     return t.sentences.select(F.explode(N.ngrams(F.split("sentence", " "), 2)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
 
 
-@query("select distinct title, trim(split_part(replace(title, '%20', ' '), '#', 1)) as link_title from (select unnest(titles) as title from sentences) where title is not null and title not like '%\\%%' and title not like '%&%'")
+@query(f"""with t as (select distinct v as title from (select unnest(titles) as v from sentences) where v is not null)
+    select form, title, trim(split_part(case form when 'plain' then {_unescaped("url_decode(replace(title, '+', '%2B'))")} else title end, '#', 1)) as link_title from t cross join (select unnest(['plain', 'percent', 'entities', 'both']) as form)""")
 def fn07_link_title(t):
-    """Titles as links name them, decoded and cut at #."""
-    plain = t.sentences.select(F.explode("titles").alias("title")).where("title is not null and instr(title, '%') = 0 and instr(title, '&') = 0").distinct()
-    return plain.select("title", N.link_title("title").alias("link_title"))
+    """Titles as links name them, decoded and cut at #: as they stand, percent-encoded, with HTML entities for every `e`,
+    and both."""
+    title = F.col("title")
+    percent = lambda c: F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))
+    entities = F.replace(F.replace(N.escape(title), F.lit("e"), F.lit("&#101;")), F.lit("é"), F.lit("&eacute;"))
+    forms = {"plain": title, "percent": percent(title), "entities": entities, "both": percent(entities)}
+    rows = t.sentences.select(F.explode("titles").alias("title")).where("title is not null").distinct()
+    each = rows.select("title", F.explode(F.array(*[F.struct(F.lit(k).alias("form"), c.alias("href")) for k, c in forms.items()])).alias("f"))
+    return each.select("f.form", "title", N.link_title("f.href").alias("link_title"))
 
 
 @query("""with k as (select distinct parent_qid, parent_title, '(''' || parent_qid || ''', ' || case when contains(parent_title, '''') and not contains(parent_title, '"') then '"' || parent_title || '"' else '''' || replace(parent_title, '''', '\\''') || '''' end || ')' as key
@@ -124,13 +141,13 @@ def pj04_anchor_mentions(t):
     return found.select("doc_id", F.length("plain").alias("n_plain"), F.size("mentions").alias("n_mentions"))
 
 
-@query("""select m[1] as alias, m[2] as title, count(*) as n from (
-    select list_value(regexp_extract(a, '(?s)>(.*?)</a>', 1), trim(split_part(url_decode(replace(regexp_extract(a, 'href="([^"]*)"', 1), '+', '%2B')), '#', 1))) as m
-    from (select unnest(regexp_extract_all(text, '(?s)<a\\b[^>]*href="[^"]+"[^>]*>.+?</a>')) as a from documents)) where instr(m[2], '&') = 0 group by 1, 2""")
+@query(f"""select m[1] as alias, m[2] as title, count(*) as n from (
+    select list_value(regexp_extract(a, '(?s)>(.*?)</a>', 1), trim(split_part({_unescaped("url_decode(replace(regexp_extract(a, 'href=" + chr(34) + "([^" + chr(34) + "]*)" + chr(34) + "', 1), '+', '%2B'))")}, '#', 1))) as m
+    from (select unnest(regexp_extract_all(text, '(?s)<a\\b[^>]*href="[^"]+"[^>]*>.+?</a>')) as a from documents)) group by 1, 2""")
 def pj04_mention_titles(t):
     """Aliases with the titles their links name, counted (ag01 over page texts)."""
     m = M.with_titles(M.anchor_mentions(t.documents.where("text is not null"), "doc_id", "text"))
-    return m.where("instr(title, '&') = 0").groupBy("alias", "title").agg(F.count("*").alias("n"))
+    return m.groupBy("alias", "title").agg(F.count("*").alias("n"))
 
 
 @query()
@@ -234,13 +251,14 @@ def fl13_aliases(t):
     return t.sentences.where(F.arrays_overlap("aliases", F.array(F.lit("Kesruthrol"), F.lit("Drokram")))).select("sent_idx_unq")
 
 
-@query(f"""with {ONE}, p as (select distinct qid as head, regexp_extract(value, 'Q[0-9]+') as tail from entity_rels where property_id = 'P7104' and regexp_matches(value, 'Q[0-9]+')),
-    q as (select distinct sent_idx_unq, qid from m where qid is not null)
+@query(f"""with {ONE}, p as (select distinct upper(trim(qid)) as head, upper(regexp_extract(value, '[Qq][0-9]+')) as tail from entity_rels where regexp_matches(value, '[Qq][0-9]+') and qid is not null),
+    q as (select sent_idx_unq, qid from m where {KNOWN} union select sent_idx_unq, parent_qid from sentences where parent_qid is not null and parent_qid <> '-1')
     select distinct a.sent_idx_unq from q a join p on p.head = a.qid join q b on b.sent_idx_unq = a.sent_idx_unq and b.qid = p.tail and b.qid <> a.qid""")
 def fl14_partners(t):
-    """Sentences that name both partners of a relation. The pairs come from the relation, not from the sentence."""
-    p = t.entity_rels.where("property_id = 'P7104'").select(F.col("qid").alias("head"), F.nullif(F.regexp_extract("value", "Q[0-9]+", 0), F.lit("")).alias("tail")).dropna().distinct()
-    q = mentions(t).where("qid is not null").select("sent_idx_unq", "qid").distinct()
+    """Sentences that name both partners of a relation, the page's own entity counting as named. The pairs come from the
+    relation, not from the sentence."""
+    p = t.entity_rels.select(F.upper(F.trim("qid")).alias("head"), F.nullif(F.upper(F.regexp_extract("value", "[Qq][0-9]+", 0)), F.lit("")).alias("tail")).dropna().distinct()
+    q = mentions(t).where(KNOWN).select("sent_idx_unq", "qid").unionByName(t.sentences.select("sent_idx_unq", F.col("parent_qid").alias("qid")).where(KNOWN)).distinct()
     heads = q.join(p, F.col("qid") == F.col("head")).where("head != tail").select("sent_idx_unq", F.col("tail").alias("qid"))
     return heads.join(q, ["sent_idx_unq", "qid"], "left_semi").select("sent_idx_unq").distinct()
 
@@ -264,16 +282,20 @@ def fl18_known_entities(t):
 
 
 @query(f"""with {CANDS}, a as (select {FOLD.format('v')} as alias, count(*) as cnt from (select unnest(aliases) as v from sentences) where v is not null group by 1),
-    w as (select lower(v) as alias, count(*) as cnt from (select unnest(string_split(text, ' ')) as v from documents) group by 1),
-    n as (select alias, count(*) as n_candidates from c group by alias)
-    select n.alias, n_candidates, case when a.cnt is null and coalesce(w.cnt, 0) >= 500 and n_candidates > 1 then 'never_alias'
+    d as (select string_split(lower(text), ' ') as ws from documents where text is not null), longest as (select max(len(string_split(alias, ' ')))::bigint as n from c),
+    g as (select array_to_string(ws[i : i + k - 1], ' ') as alias from (select ws, k, unnest(range(1, len(ws) - k + 2)) as i from (select ws, unnest(range(1, n + 1)) as k from d, longest))),
+    w as (select alias, count(*) as cnt from g where alias in (select alias from c) group by 1), n as (select alias, count(*) as n_candidates from c group by alias)
+    select n.alias, n_candidates, coalesce(w.cnt, 0) as in_text, case when a.cnt is null and coalesce(w.cnt, 0) >= 500 and n_candidates > 1 then 'never_alias'
       when a.cnt is not null and coalesce(w.cnt, 0) > 500 and a.cnt < 10000 and a.cnt / w.cnt < 0.017 then 'rarely_alias' end as reason
     from n left join a using (alias) left join w using (alias)""")
 def fl19_alias_prune(t):
-    """Common phrases among the aliases."""
+    """Common phrases among the aliases: text is counted in runs of words up to the longest alias, of the aliases only."""
     a = t.sentences.select(F.explode("aliases").alias("a")).where("a is not null").groupBy(fold_alias("a").alias("alias")).agg(F.count("*").alias("cnt"))
-    w = t.documents.select(F.explode(F.split("text", " ")).alias("w")).groupBy(F.lower("w").alias("alias")).agg(F.count("*").alias("cnt"))
-    return C.prune_common(cands(t), a, w)
+    c = cands(t)
+    longest = c.agg(F.max(F.size(F.split("alias", " ")))).first()[0] or 1
+    grams = t.documents.select(F.explode(F.flatten(F.get(F.transform(F.array(F.split(F.lower("text"), " ")), lambda w: F.array(*[N.ngrams(w, k) for k in range(1, longest + 1)])), F.lit(0)))).alias("alias"))
+    w = grams.join(c.select("alias").distinct(), "alias", "left_semi").groupBy("alias").agg(F.count("*").alias("cnt"))
+    return C.prune_common(c, a, w)
 
 
 # joins
@@ -284,11 +306,23 @@ def j01_title_map(t):
     return titles(t)
 
 
-@query(f"with {ONE}, {TITLES} select m.sent_idx_unq, m.pos::integer as pos, coalesce(a.qid, b.qid) as resolved_qid from m left join tm a on a.title = m.title left join tm b on b.title = replace(replace(replace(replace(replace(m.title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') where m.title is null or instr(m.title, '&') = 0")
+@query(f"""with {ONE}, {TITLES}, amp as (select replace(title, ' ', ' & ') as title, min(qid) as qid from tm group by 1)
+    select form, m.sent_idx_unq, m.pos::integer as pos, case when form = 'plain' then coalesce(a.qid, b.qid, c.qid) else d.qid end as resolved_qid
+    from m cross join (select unnest(['plain', 'entities', 'map_entities']) as form) left join tm a on a.title = m.title left join tm b on b.title = {_unescaped("m.title")}
+      left join tm c on c.title = replace(replace(replace(replace(replace(m.title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') left join amp d on d.title = replace(m.title, ' ', ' & ')""")
 def j02_fallback_lookup(t):
-    """Mentions resolved by title as written, unescaped or escaped."""
-    m = mentions(t).where("title is null or instr(title, '&') = 0").select("sent_idx_unq", "pos", "title")
-    return R.resolve_titles(m, titles(t)).select("sent_idx_unq", "pos", "resolved_qid")
+    """Mentions resolved by title as written, unescaped or escaped. As the titles have nothing to escape, they are also
+    asked with an ampersand at every blank: with entities in the mentions, and with entities in the map."""
+    m, tm = mentions(t).select("sent_idx_unq", "pos", "title"), titles(t)
+    amp = F.replace("title", F.lit(" "), F.lit(" & "))
+    tm_amp = tm.groupBy(amp.alias("title")).agg(F.min("qid").alias("qid"))
+    asked = {
+        "plain": (m, tm),
+        "entities": (m.withColumn("title", N.escape(amp)), tm_amp),
+        "map_entities": (m.withColumn("title", amp), tm_amp.withColumn("title", N.escape(F.col("title")))),
+    }
+    parts = [R.resolve_titles(a, b).select(F.lit(form).alias("form"), "sent_idx_unq", "pos", "resolved_qid") for form, (a, b) in asked.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query(f"with {TITLES} select sent_idx_unq, coalesce(tm.qid, '-1') as page_qid from sentences s left join tm on tm.title = s.parent_title")

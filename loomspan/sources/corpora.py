@@ -28,9 +28,10 @@ def _token(t: Column) -> Column:
 def iob(spark: SparkSession, path: str, url_column: int = 4, skip_nil: bool = False) -> tuple[DataFrame, DataFrame]:
     """(sentences, mentions) of IOB files: -DOCSTART- lines begin documents, blank lines end sentences.
 
-    sentences: (doc_id, sent, tokens). mentions: (doc_id, sent, alias, start, end, url, al), spans in words, al numbered
-    within the document. A B line that has the URL column opens a mention and I lines that follow belong to it;
-    skip_nil leaves out --NME-- mentions.
+    sentences: (doc_id, sent, tokens). mentions: (doc_id, sent, alias, start, end, url, al, qid), spans in words, al
+    numbered within the document. A B line that has the URL column opens a mention and I lines that follow belong to it.
+    skip_nil: the URL stands one column before, --NME-- mentions are left out, and a column behind it, where there is
+    one, holds the entity's id, which beats the URL; else qid is null.
     """
     rows = _lines(spark, path)
     start = F.col("line").startswith("-DOCSTART-")
@@ -42,22 +43,112 @@ def iob(spark: SparkSession, path: str, url_column: int = 4, skip_nil: bool = Fa
     tagged = body.where(F.size("c") > url_column - 1) if skip_nil else body.where(F.size("c") > url_column)
     opens = F.get("c", F.lit(1)) == "B"
     tagged = tagged.withColumn("m", _running(opens, ["file", "sent"])).withColumn("url", F.get("c", F.lit(url_column if not skip_nil else url_column - 1)))
-    found = tagged.where("m > 0").groupBy("doc_id", "sent", "m").agg(F.min("w").alias("start"), (F.max("w") + 1).alias("end"), F.min_by(F.get("c", F.lit(2)), "w").alias("alias"), F.min_by("url", "w").alias("url"))
+    found = tagged.where("m > 0").groupBy("doc_id", "sent", "m").agg(F.min("w").alias("start"), (F.max("w") + 1).alias("end"), F.min_by(F.get("c", F.lit(2)), "w").alias("alias"), F.min_by("url", "w").alias("url"), F.min_by(F.get("c", F.lit(url_column)) if skip_nil else F.lit(None).cast("string"), "w").alias("qid"))
     if skip_nil:
         found = found.where(~F.col("url").startswith("--NME--"))
     al = F.row_number().over(Window.partitionBy("doc_id").orderBy("sent", "m")) - 1
-    return sents, found.select("doc_id", "sent", F.lower("alias").alias("alias"), "start", "end", "url", al.alias("al"))
+    return sents, found.select("doc_id", "sent", F.lower("alias").alias("alias"), "start", "end", "url", al.alias("al"), F.nullif("qid", F.lit("")).alias("qid"))
 
 
-def with_title_scope(sents: DataFrame, first: int = 1, delimiter: str = "[SEP]") -> DataFrame:
-    """(doc_id, sent, text): each sentence after the document's first ones and a delimiter; the first ones as they are."""
+def with_title_scope(sents: DataFrame, first: int = 1, delimiter: str = "[SEP]", anchors: DataFrame | None = None) -> DataFrame:
+    """(doc_id, sent, text): each sentence after the document's first ones and a delimiter; the first ones as they are.
+    anchors: (doc_id, sent) of mentions; sentences without any have no row, though they still scope others."""
     n = F.row_number().over(Window.partitionBy("doc_id").orderBy("sent"))
     numbered = sents.withColumn("n", n).withColumn("line", F.array_join("tokens", " "))
     head = numbered.where(F.col("n") <= first).groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]), " ").alias("head"))
     out = numbered.join(head, "doc_id")
+    if anchors is not None:
+        out = out.join(anchors.select("doc_id", "sent").distinct(), ["doc_id", "sent"], "left_semi")
     return out.select("doc_id", "sent", F.when(F.col("n") <= first, F.col("line")).otherwise(F.concat_ws(f" {delimiter} ", "head", "line")).alias("text"))
 
 
+def document_scope(sents: DataFrame, mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sentences (doc_id, sent, tokens) and mentions (doc_id, sent, start, end, ...) with each document as one sentence 0,
+    the spans moved along."""
+    before = F.sum(F.size("tokens")).over(Window.partitionBy("doc_id").orderBy("sent")) - F.size("tokens")
+    placed = sents.select("doc_id", "sent", before.alias("_before"))
+    whole = sents.groupBy("doc_id").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("sent", "tokens"))), lambda x: x["tokens"])).alias("tokens"))
+    moved = mentions.join(placed, ["doc_id", "sent"]).withColumn("start", (F.col("start") + F.col("_before")).cast("int")).withColumn("end", (F.col("end") + F.col("_before")).cast("int"))
+    return whole.select("doc_id", F.lit(0).cast("long").alias("sent"), "tokens"), moved.withColumn("sent", F.lit(0).cast("long")).drop("_before")
+
+
+def records(sents: DataFrame, mentions: DataFrame, key: list[str], text: str = "sentence") -> DataFrame:
+    """key, text, aliases, qids, spans ("start:end"), gold, sent_idx: a record per sentence with mentions, in parallel arrays
+    by place; gold is true where mentions have no such column. sent_idx is dense text from 0 in order of key."""
+    from loomspan.operators.knowledge import dense_ids
+
+    gold = F.col("gold") if "gold" in mentions.columns else F.lit(True)
+    packed = mentions.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("start", "end", "alias", "qid", gold.alias("gold")))).alias("m"))
+    at = lambda f: F.transform("m", lambda x: x[f])
+    out = sents.select(*key, text).join(packed, key).select(*key, text, at("alias").alias("aliases"), at("qid").alias("qids"), F.transform("m", lambda x: F.concat_ws(":", x["start"], x["end"])).alias("spans"), at("gold").alias("gold"))
+    return dense_ids(out, [F.col(k) for k in key], 0, "sent_idx").withColumn("sent_idx", F.col("sent_idx").cast("string"))
+
+
+def referenced_lines(lines: DataFrame, references: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Texts as lines (file, n, line) and references (file, alias, offset, qid) to (sentences (file, n, sentence), mentions
+    (file, n, alias, start, end, qid)), spans in words.
+
+    Punctuation is blanked. A reference belongs to the line in which its character offset falls, the lengths of all lines
+    added up, and is looked for there in order; those that aren't found, or have no qid, are left out, as are blank lines."""
+    from loomspan.operators.mentions import find_in_order
+
+    end = F.sum(F.length("line")).over(Window.partitionBy("file").orderBy("n"))
+    placed = lines.where("line is not null").withColumn("to", end).withColumn("from", F.col("to") - F.length("line"))
+    plain = F.trim(F.regexp_replace(F.regexp_replace("line", r"\p{Punct}", " "), r"\s+", " "))
+    kept = placed.where(F.trim("line") != "").select("file", "n", "from", "to", plain.alias("sentence"))
+    met = references.where("alias is not null").join(kept, "file").where("offset >= from and offset < to")
+    lists = met.groupBy("file", "n", "sentence").agg(F.sort_array(F.collect_list(F.struct("offset", "alias", "qid"))).alias("r"))
+    found = lists.select("file", "n", F.arrays_zip(find_in_order(F.col("sentence"), F.transform("r", lambda x: x["alias"])).alias("f"), F.col("r").alias("r")).alias("z"))
+    marks = found.select("file", "n", F.explode("z").alias("z")).select("file", "n", F.lower("z.f.alias").alias("alias"), F.col("z.f.start").alias("start"), F.col("z.f.end").alias("end"), "z.r.qid")
+    return kept.select("file", "n", "sentence"), marks.where("start is not null and qid is not null")
+
+
+def annotated_urls(mentions: DataFrame) -> DataFrame:
+    """(url): the distinct addresses that mentions name, NIL marks and blanks left out."""
+    return mentions.select(F.trim("url").alias("url")).where("url is not null and url != '' and not startswith(url, '--')").distinct()
+
+
+def refreshed_titles(asked: DataFrame, current: DataFrame, redirects: DataFrame) -> DataFrame:
+    """(title, id, now, how): what a page of an old dump is called now. asked: (title, id), current: (id, title), redirects:
+    (source, target). `id`: by the page's number; else `same`: a page of that title; else `redirect`, if its target is a
+    page; else `deleted`, now is null."""
+    by_id = current.where("id is not null and title is not null").groupBy("id").agg(F.min("title").alias("_by_id"))
+    titles = current.where("title is not null").select("title").distinct()
+    red = redirects.join(titles.withColumnRenamed("title", "target"), "target", "left_semi").groupBy(F.col("source").alias("title")).agg(F.min("target").alias("_target"))
+    out = asked.select("title", "id").distinct().join(by_id, "id", "left").join(titles.withColumn("_same", F.col("title")), "title", "left").join(red, "title", "left")
+    how = F.when(F.col("_by_id").isNotNull(), "id").when(F.col("_same").isNotNull(), "same").when(F.col("_target").isNotNull(), "redirect").otherwise("deleted")
+    return out.select("title", "id", F.coalesce("_by_id", "_same", "_target").alias("now"), how.alias("how"))
+
+
+def type_dump(entities: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entities (doc, pos, qid, types) to (types (type, type_id from 0 in order of first appearance), entity types (qid,
+    type_ids) as the last mention of each entity has them)."""
+    from loomspan.operators.knowledge import dense_ids
+
+    each = entities.select("doc", "pos", "qid", F.posexplode("types").alias("i", "type")).where("type is not null")
+    first = each.groupBy("type").agg(F.min(F.struct("doc", "pos", "i")).alias("at"))
+    ids = dense_ids(first, [F.col("at"), F.col("type")], 0, "type_id").select("type", F.col("type_id").cast("long").alias("type_id"))
+    last = entities.groupBy("qid").agg(F.max_by("types", F.struct("doc", "pos")).alias("types"))
+    listed = last.select("qid", F.posexplode_outer("types").alias("i", "type")).join(ids, "type", "left")
+    packed = listed.groupBy("qid").agg(F.transform(F.sort_array(F.collect_list(F.when(F.col("type_id").isNotNull(), F.struct("i", "type_id")))), lambda x: x["type_id"]).alias("type_ids"))
+    return ids, packed
+
+
+def concept_alias_counts(mentions: DataFrame, concepts_: DataFrame, train: DataFrame) -> DataFrame:
+    """(alias, qid, n): how often each alias names a concept: once per mention of the concept for each of the concept's own
+    aliases, and once per mention, in the documents of train (pmid) only, for what it is called there. mentions: (pmid,
+    alias, cid), concepts: (concept_id, aliases). Aliases in normal form; blank ones don't count."""
+    from loomspan.functions.normal import lnrm
+
+    qid = F.concat(F.lit("Q"), F.trim("cid")).alias("qid")
+    m = mentions.where("cid is not null").withColumn("cid", F.trim("cid"))
+    times = m.groupBy("cid").agg(F.count("*").alias("n"))
+    own = times.join(concepts_.select(F.col("concept_id").alias("cid"), F.explode("aliases").alias("alias")), "cid").select("alias", qid, "n")
+    called = m.join(train.select("pmid").distinct(), "pmid", "left_semi").groupBy("alias", qid).agg(F.count("*").alias("n"))
+    both = own.unionByName(called).where("alias is not null").groupBy("alias", "qid").agg(F.sum("n").alias("n"))
+    return both.select(lnrm("alias").alias("alias"), "qid", "n").where("alias != ''").groupBy("alias", "qid").agg(F.sum("n").alias("n"))
+
+
 def ntriples(spark: SparkSession, path: str, prefix: str) -> DataFrame:
     """(key, range, anchorOf, beginIndex, endIndex, isString, taIdentRef): annotations in N-Triples, a row per character
     range of each text whose subject begins with prefix."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomspan.functions.normal import byte_size
 from loomspan.schemas import DUMP_RECORD, PAGE
 
 
@@ -44,8 +45,10 @@ def page_ids(rows: DataFrame) -> DataFrame:
 
 
 def space_triples(spark: SparkSession, path: str, columns: tuple[str, ...] = ("head", "rel", "tail")) -> DataFrame:
-    """Triples, or pairs, separated by single blanks."""
-    return spark.read.schema(", ".join(f"{c} string" for c in columns)).option("sep", " ").option("quote", "").csv(path)
+    """Triples, or pairs, separated by single blanks; further blanks, quotes and backslashes belong to the last part. Lines
+    with fewer parts have nulls for the rest."""
+    parts = F.split("value", " ", len(columns))
+    return spark.read.text(path).select(*[F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(columns)])
 
 
 def qid_filter(spark: SparkSession, path: str | None) -> DataFrame | None:
@@ -76,6 +79,37 @@ def write_rolled(df: DataFrame, path: str, records: int, kind: str = "json") ->
     df.write.option("maxRecordsPerFile", records).mode("overwrite").format(kind).save(path)
 
 
+def write_by_size(df: DataFrame, path: str, size: str = "10M", kind: str = "json") -> int:
+    """Files of about so many bytes each ("10M", with K, M, G or none), by the mean length of a row as JSON text; returns the
+    most records of a file."""
+    mean = df.select(F.avg(F.octet_length(F.to_json(F.struct("*"))) + 1).alias("m")).first().m or 1.0
+    records = max(1, int(byte_size(size) / mean))
+    write_rolled(df, path, records, kind)
+    return records
+
+
+def write_one(df: DataFrame, path: str, kind: str = "json") -> None:
+    """One file for tables that must be one at the end of a pipeline. A single task writes it."""
+    df.coalesce(1).write.mode("overwrite").format(kind).save(path)
+
+
+def write_json_map(df: DataFrame, path: str, key: str, value: str) -> None:
+    """A JSON object per line, {key: value}: a dictionary in parts that load_json_map reads whole; null keys are left out."""
+    df.where(F.col(key).isNotNull()).select(F.to_json(F.map_from_arrays(F.array(F.col(key).cast("string")), F.array(key if value == key else value))).alias("value")).write.mode("overwrite").text(path)
+
+
+def load_json_map(spark: SparkSession, path: str, kind: str = "string") -> DataFrame:
+    """(key, value) of JSON objects, one a line, whatever number of keys each has."""
+    return spark.read.text(path).select(F.explode(F.from_json("value", f"map<string,{kind}>")).alias("key", "value"))
+
+
+def title_map_file(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
+    """(url, title, id) of side maps: addresses with the title they have now and its page number, -1 or blank for none."""
+    parts = F.split("value", sep)
+    at = lambda i: F.nullif(F.trim(F.get(parts, F.lit(i))), F.lit(""))
+    return spark.read.text(path).where("value != ''").select(at(0).alias("url"), at(1).alias("title"), F.nullif(at(2).try_cast("long"), F.lit(-1)).alias("id"))
+
+
 def write_delimited(df: DataFrame, path: str, field: str = "|", item: str = "~*~") -> None:
     """Text lines, fields by one mark and array items by another; nulls are empty."""
     parts = [F.concat_ws(item, F.transform(c, lambda x: x.cast("string"))) if t.startswith("array") else F.coalesce(F.col(c).cast("string"), F.lit("")) for c, t in df.dtypes]

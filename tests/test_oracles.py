@@ -7,7 +7,7 @@ import importlib
 import pytest
 from oracle import compare, connect
 
-MODULES = [importlib.import_module(m) for m in ("loomspan.plans.general", "loomspan.plans.reference", "loomspan.plans.knowledge", "loomspan.plans.extras")]
+MODULES = [importlib.import_module(m) for m in ("loomspan.plans.general", "loomspan.plans.reference", "loomspan.plans.knowledge", "loomspan.plans.extras", "loomspan.plans.corpora")]
 QUERIES = {n: f for m in MODULES for n, f in m.queries().items()}
 SQL = {n: s for m in MODULES for n, s in m.oracle_sql().items()}
 
