@@ -64,7 +64,10 @@ def backed_off(aliases: DataFrame, candidates: DataFrame) -> DataFrame:
 def context_scores(cands: DataFrame, contexts: DataFrame, terms: DataFrame) -> DataFrame:
     """(mention, qid, hits): for each candidate, the proper names of the mention's sentence that its page contains, each
     counted at most 5 times and weighted by its words. cands: (mention, qid), contexts: (qid, sentence), terms: (mention, term)."""
-    pages = cands.join(contexts, "qid").join(terms, "mention")
+    # a sentence that has a term has its first word: they meet there, and a large page isn't crossed with all terms
+    asked = cands.select("mention", "qid").distinct().join(terms.select("mention", "term").where("term is not null").distinct(), "mention").withColumn("word", F.get(F.split("term", " "), F.lit(0)))
+    held = contexts.where("sentence is not null").join(asked.select("qid").distinct(), "qid", "left_semi")
+    pages = held.select("qid", "sentence", F.explode(F.array_distinct(F.split("sentence", " "))).alias("word")).join(asked, ["qid", "word"])
     seen = pages.where(F.contains(F.concat(F.lit(" "), "sentence", F.lit(" ")), F.concat(F.lit(" "), "term", F.lit(" "))))
     each = seen.groupBy("mention", "qid", "term").agg(F.least(F.count("*"), F.lit(5)).alias("n"))
     return each.groupBy("mention", "qid").agg(F.sum(F.col("n") * F.size(F.split("term", " "))).alias("hits"))

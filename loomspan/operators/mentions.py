@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomspan.functions.normal import link_title, match_spans
 
@@ -46,31 +48,69 @@ def with_titles(mentions: DataFrame) -> DataFrame:
     return flat.withColumn("title", link_title("href")).drop("href")
 
 
+def sentence_spans(text: Column | str, end: str = r"[.!?]+(?=\s|$)") -> Column:
+    """array<struct<word, start, end>> of the sentences of a text, blanks between left out."""
+    return match_spans(text, rf"(?s)\S.*?(?:{end}|\Z)")
+
+
 def sentences(pages: DataFrame, page_id: str, text: str, end: str = r"[.!?]+(?=\s|$)") -> DataFrame:
     """(page_id, sent, start, end): the sentences of each text with their places in it, blanks between left out."""
-    found = match_spans(text, rf"(?s)\S.*?(?:{end}|\Z)")
-    return pages.select(page_id, F.posexplode(found).alias("sent", "s")).select(page_id, "sent", "s.start", "s.end")
+    return pages.select(page_id, F.posexplode(sentence_spans(text, end)).alias("sent", "s")).select(page_id, "sent", "s.start", "s.end")
+
+
+BUCKETS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("hits", T.ArrayType(T.IntegerType()))]))
+
+
+def buckets(spans: list[tuple[int, int]], mentions: list[tuple[int | None, int | None]]) -> list[tuple[int, int, list[int]]]:
+    """(start, end, numbers of its mentions) of the sentences of a page, in order, merged where a mention goes past the end of
+    the one it begins in; an open last one is dropped."""
+    order = sorted((m[0], i) for i, m in enumerate(mentions) if m[0] is not None)
+    out, k, opened, hits = [], 0, None, []
+    for start, end in spans:
+        first = start if opened is None else opened
+        bad = False
+        while k < len(order) and order[k][0] < end:
+            at, i = order[k]
+            k += 1
+            if at >= first:
+                hits.append(i)
+                bad = bad or (at >= start and (mentions[i][1] or 0) > end)
+        if bad:
+            opened = first
+        else:
+            out.append((first, end, hits))
+            opened, hits = None, []
+    return out
+
+
+@F.arrow_udf(BUCKETS)
+def _buckets(starts: pa.Array, ends: pa.Array, m_starts: pa.Array, m_ends: pa.Array) -> pa.Array:
+    rows = zip(*(x.to_pylist() for x in (starts, ends, m_starts, m_ends)), strict=True)
+    made = [[{"start": s, "end": e, "hits": h} for s, e, h in buckets(list(zip(a or [], b or [], strict=True)), list(zip(c or [], d or [], strict=True)))] for a, b, c, d in rows]
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("hits", pa.list_(pa.int32()))]))
+    return pa.array(made, kind)
+
+
+def bucketed(pages: DataFrame, page_id: str, spans: Column, mentions: str, fields: list[str], start: str = "start", end: str = "end") -> DataFrame:
+    """(page_id, doc_sent_idx, start, end, mentions): a page's sentences, array<struct<start, end, ..>> in order, merged so that
+    no mention of its array straddles an end, with the mentions that begin in each: (s, e, fields), spans rebased, by place.
+
+    Page by page, without a shuffle. A sentence in which a mention begins that goes on past its end is merged with the next; if
+    the last one does so, its text is dropped. Null arrays are empty ones; mentions without a start are left out."""
+    whole = pages.select(page_id, spans.alias("_s"), F.coalesce(F.col(mentions), F.expr("array()")).alias("_m"))
+    made = whole.select(page_id, "_m", F.posexplode(_buckets(F.col("_s.start"), F.col("_s.end"), F.col(f"_m.{start}"), F.col(f"_m.{end}"))).alias("doc_sent_idx", "b"))
+    at = lambda i: F.get("_m", i)
+    rebased = F.transform("b.hits", lambda i: F.struct((at(i)[start] - F.col("b.start")).alias("s"), (at(i)[end] - F.col("b.start")).alias("e"), *[at(i)[c].alias(c) for c in fields]))
+    return made.select(page_id, "doc_sent_idx", "b.start", "b.end", F.sort_array(rebased).alias("mentions"))
 
 
 def bucket_mentions(sents: DataFrame, mentions: DataFrame, page_id: str) -> DataFrame:
-    """Sentences merged so that no mention straddles an end: (page_id, doc_sent_idx, start, end, mentions).
-
-    sents: (page_id, sent, start, end), mentions: (page_id, m_start, m_end, ...). A sentence in which a mention begins
-    that goes on past its end is merged with the next; if the last one does so, its text is dropped. Spans are rebased.
-    """
-    hits = sents.join(mentions, [page_id]).where("m_start >= start and m_start < end")
-    over = hits.groupBy(page_id, "sent").agg(F.max(F.when(F.col("m_end") > F.col("end"), 1).otherwise(0)).alias("bad"))
-    w = Window.partitionBy(page_id).orderBy("sent")
-    flagged = sents.join(over, [page_id, "sent"], "left").withColumn("bad", F.coalesce("bad", F.lit(0)))
-    grouped = flagged.withColumn("grp", F.sum(1 - F.coalesce(F.lag("bad").over(w), F.lit(0))).over(w))
-    merged = grouped.groupBy(page_id, "grp").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max_by("bad", "sent").alias("open")).where("open = 0")
-    merged = merged.withColumn("doc_sent_idx", (F.row_number().over(Window.partitionBy(page_id).orderBy("grp")) - 1).cast("int"))
+    """`bucketed` for sentences (page_id, sent, start, end) and mentions (page_id, m_start, m_end, ...) in tables of their own;
+    those of a page are brought together first. Mentions of pages without sentences are left out."""
     cols = [c for c in mentions.columns if c not in (page_id, "m_start", "m_end")]
-    within = merged.join(mentions, [page_id]).where("m_start >= start and m_start < end")
-    packed = within.groupBy(page_id, "doc_sent_idx").agg(
-        F.sort_array(F.collect_list(F.struct((F.col("m_start") - F.col("start")).alias("s"), (F.col("m_end") - F.col("start")).alias("e"), *cols))).alias("mentions")
-    )
-    return merged.join(packed, [page_id, "doc_sent_idx"], "left").select(page_id, "doc_sent_idx", "start", "end", F.coalesce("mentions", F.expr("array()")).alias("mentions"))
+    lists = sents.groupBy(page_id).agg(F.sort_array(F.collect_list(F.struct("sent", "start", "end"))).alias("_spans"))
+    packed = mentions.groupBy(page_id).agg(F.collect_list(F.struct("m_start", "m_end", *cols)).alias("_mentions"))
+    return bucketed(lists.join(packed, page_id, "left"), page_id, F.col("_spans"), "_mentions", cols, "m_start", "m_end")
 
 
 FIELDS = ("aliases", "titles", "qids", "char_spans", "gold", "sources", "unswap_aliases")

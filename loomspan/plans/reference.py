@@ -154,8 +154,7 @@ def pj04_mention_titles(t):
 def pj05_sentence_buckets(t):
     """Page texts cut into sentences that no mention straddles; tested against a loop."""
     plain = M.anchor_mentions(t.documents.where("text is not null"), "doc_id", "text")
-    m = plain.select("doc_id", F.explode("mentions").alias("m")).select("doc_id", F.col("m.start").alias("m_start"), F.col("m.end").alias("m_end"), "m.alias")
-    out = M.bucket_mentions(M.sentences(plain, "doc_id", "plain"), m, "doc_id")
+    out = M.bucketed(plain, "doc_id", M.sentence_spans(F.col("plain")), "mentions", ["alias"])
     return out.select("doc_id", "doc_sent_idx", "start", "end", F.size("mentions").alias("n_mentions"))
 
 

@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+_OPEN: list[Scratch] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,7 +42,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.root, self._n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
-        atexit.register(self.close)
+        _OPEN.append(self)
 
     def save(self, df: DataFrame, old: DataFrame | None = None) -> DataFrame:
         """Materialise df; `old`, a table saved before that nothing reads any more, is deleted afterwards."""
@@ -61,3 +62,18 @@ class Scratch:
     def close(self) -> None:
         if self.spark.sparkContext._jsc is not None:
             _delete(self.spark, self.root)
+        if self in _OPEN:
+            _OPEN.remove(self)
+
+
+def mark() -> int:
+    """A place to free back to."""
+    return len(_OPEN)
+
+
+@atexit.register
+def free(since: int = 0) -> None:
+    """Delete the tables of all operator runs since a mark. Call it once their results have been read: a result that is
+    read later finds its tables gone."""
+    for scratch in _OPEN[since:]:
+        scratch.close()

@@ -25,6 +25,16 @@ def sf_dir():
     return DATA
 
 
+@pytest.fixture(autouse=True)
+def freed():
+    """Tables of a test's operators go when it ends."""
+    from loomspan.scratch import free, mark
+
+    at = mark()
+    yield
+    free(at)
+
+
 @pytest.fixture()
 def scratch(spark):
     from loomspan.scratch import Scratch

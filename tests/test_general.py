@@ -264,3 +264,18 @@ def test_lookup(spark, monkeypatch):
         got = Counter((r.k, r.x) for r in lookup(left, right, "k", n).collect())
         assert got == Counter((k, {"h": 1, "k3": 2}.get(k)) for (k,) in rows)
 
+
+
+def test_scratch_is_freed(spark):
+    """Tables since a mark are deleted, those before it stay."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from loomspan.scratch import Scratch, free, mark
+
+    first = Scratch(spark, "first")
+    kept = first.save(spark.range(3))
+    at, second = mark(), Scratch(spark, "second")
+    second.save(spark.range(3))
+    free(at)
+    assert kept.count() == 3 and not Path(urlparse(second.root).path).exists() and Path(urlparse(first.root).path).exists()
