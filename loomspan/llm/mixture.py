@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspan.functions.text import blank_to_null
+from loomspan.operators.skew import lookup
 from loomspan.scratch import Scratch
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -116,6 +117,68 @@ def rake(tokens: np.ndarray, targets: list[np.ndarray], cap: np.ndarray, total:
     return fit
 
 
+def rake_table(cells: DataFrame, share: dict[str, float], cap: dict[str, float], total: float, scratch: Scratch, rounds: int = 200, close: float = 1e-6) -> tuple[DataFrame, Fit]:
+    """rake_cells for cells (source, lang, topic, t) that the driver can't hold, in the same steps: a table with `copies`.
+
+    Sums by axis are aggregated where the cells lie and looked up there; the driver holds a row per source."""
+    spark, total = cells.sparkSession, float(total)
+    share, cap = {s: float(x) for s, x in share.items()}, {s: float(x) for s, x in cap.items()}
+    goal = spark.createDataFrame([(s, cap[s]) for s in share], "source string, cap double")
+    state = scratch.save(cells.join(F.broadcast(goal), "source").withColumn("copies", F.lit(1.0)))  # at most MAX_SOURCES rows
+    all_t = float(cells.agg(F.sum("t")).first()[0] or 0)
+    nothing = Fit(np.zeros(0), total, 0)
+    if not all_t:
+        return state, nothing
+    natural = {axis: scratch.save(cells.groupBy(axis).agg((F.sum("t") / F.lit(all_t)).alias("want"))) for axis in ("lang", "topic")}
+    fit = nothing
+    for fit.rounds in range(1, rounds + 1):
+        moved = state.withColumn("before", F.col("copies"))
+        for axis in ("lang", "topic"):
+            now = scratch.save(moved.groupBy(axis).agg(F.sum(F.col("copies") * F.col("t")).alias("now")))
+            factor = natural[axis].join(now, axis).select(axis, F.when(F.col("now") > 0, F.col("want") * total / F.col("now")).otherwise(0.0).alias("factor"))
+            moved = lookup(moved, factor, axis).withColumn("copies", F.least(F.col("copies") * F.col("factor"), F.col("cap"))).drop("factor")
+            moved = scratch.save(moved)
+        factors = _filled_table(moved, share, total)
+        table = spark.createDataFrame(list(factors.items()), "source string, factor double")
+        moved = moved.join(F.broadcast(table), "source").withColumn("copies", F.least(F.col("copies") * F.col("factor"), F.col("cap"))).drop("factor")
+        state = scratch.save(moved, old=state)
+        if (state.agg(F.max(F.abs(F.col("copies") - F.col("before")))).first()[0] or 0.0) < close:
+            break
+        state = state.drop("before")
+    reached = {r.source: r.n for r in state.groupBy("source").agg(F.sum(F.col("copies") * F.col("t")).alias("n")).collect()}
+    fit.worst["source"] = max((abs(reached.get(s, 0.0) / max(total, 1e-9) - share[s]) for s in share), default=0.0)
+    for name, axis in (("language", "lang"), ("topic", "topic")):
+        off = state.groupBy(axis).agg(F.sum(F.col("copies") * F.col("t")).alias("now")).join(natural[axis], axis)
+        fit.worst[name] = float(off.agg(F.max(F.abs(F.col("now") / F.lit(max(total, 1e-9)) - F.col("want")))).first()[0] or 0.0)
+    return state.drop("before"), fit
+
+
+def _filled_table(state: DataFrame, share: dict[str, float], total: float) -> dict[str, float]:
+    """By source the factor of `filled`: cells that a factor brings to the cap are fixed there, and what is missing is asked of
+    the others, until no further cell is fixed; each step is one aggregation."""
+    spark, factors, fixed = state.sparkSession, {}, None
+    while True:
+        if not factors:
+            part = state.withColumn("capped", F.lit(False))
+        else:
+            now = spark.createDataFrame(list(factors.items()), "source string, factor double")
+            part = state.join(F.broadcast(now), "source").withColumn("capped", F.col("copies") * F.col("factor") > F.col("cap"))
+        rows = part.groupBy("source").agg(
+            F.sum(F.when(~F.col("capped"), F.col("copies") * F.col("t"))).alias("open"), F.sum(F.when(F.col("capped"), F.col("cap") * F.col("t"))).alias("full"),
+            F.count_if("capped").alias("n"), F.min(F.when(F.col("copies") > 0, F.col("copies"))).alias("least"), F.max("cap").alias("cap"),
+        ).collect()
+        count = {r.source: r.n for r in rows}
+        if count == fixed:
+            return factors
+        fixed = count
+        for r in rows:
+            missing = share[r.source] * total - (r.full or 0.0)
+            if r.open:
+                factors[r.source] = max(missing / r.open, 0.0)
+            else:  # all are at the cap
+                factors[r.source] = r.cap / r.least if r.least and missing > 0 else factors.get(r.source, 0.0)
+
+
 def largest_total(sizes: np.ndarray, shares: np.ndarray, cap: np.ndarray) -> float:
     """The largest total of which every source can still give its share."""
     able = (shares > 0) & (sizes > 0)
@@ -128,7 +191,8 @@ class Mixture:
 
     Names count trimmed and lower-cased. Documents of null or unlisted sources aren't drawn; null languages and topics
     are values of their own. Every language and topic is raked to its own marginal, its share of the known sources'
-    tokens. The driver holds the cells that aren't empty; over MAX_CELLS of them are an error. Shares of sources without tokens are spread over the others. `total`: tokens wanted;
+    tokens. The driver holds the cells that aren't empty, up to max_cells; more are fitted in a table. Targets of over
+    MAX_SOURCES sources are an error. Shares of sources without tokens are spread over the others. `total`: tokens wanted;
     by default the largest of which every source can give its share. max_repeats counts whole copies; null means 1.
     Repeated target rows count once, the largest share. Documents of no tokens are drawn like any other of their cell.
 
@@ -137,7 +201,7 @@ class Mixture:
     topic of the listed sources.
     """
 
-    def __init__(self, documents: DataFrame, targets: DataFrame, scratch: Scratch, *, total: float | None = None, tokenizer: str = TOKENIZER) -> None:
+    def __init__(self, documents: DataFrame, targets: DataFrame, scratch: Scratch, *, total: float | None = None, tokenizer: str = TOKENIZER, max_cells: int = MAX_CELLS) -> None:
         spark = documents.sparkSession
         name = lambda c: F.lower(blank_to_null(c))
         measured = "text" not in documents.columns
@@ -148,26 +212,30 @@ class Mixture:
             raise ValueError("too many sources for one mixture")
         sources = [g.source for g in goals]
         known = sized.where(F.col("source").isin(sources)) if sources else sized.limit(0)
-        found = known.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("t")).limit(MAX_CELLS + 1).toArrow()  # a row per cell
-        if found.num_rows > MAX_CELLS:
-            raise ValueError("too many cells for one mixture")
-        found = found.sort_by([(c, "ascending") for c in ("source", "lang", "topic")])
-        tokens = found["t"].to_numpy().astype(float)
-        coded = {c: found[c].combine_chunks().dictionary_encode() for c in ("lang", "topic")}
-        number = {x: i for i, x in enumerate(sources)}
-        places = [np.array([number[x] for x in found["source"].to_pylist()], int), *(x.indices.to_numpy() for x in coded.values())]
-        sums = lambda axis, n: np.bincount(places[axis], tokens, n)
+        grouped = scratch.save(known.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("t")))
+        by_source = {r.source: float(r.t) for r in grouped.groupBy("source").agg(F.sum("t").alias("t")).collect()}  # at most MAX_SOURCES rows
+        all_tokens, size = sum(by_source.values()), np.array([by_source.get(s, 0.0) for s in sources] or [0.0])
         cap = np.array([np.floor(1.0 if g.cap is None else max(g.cap, 0)) for g in goals] or [0.0])
         share = np.array([max(g.share or 0.0, 0.0) for g in goals] or [0.0])
-        size = sums(0, len(cap))
         share = np.where((size > 0) & (cap > 0), share, 0)
         share = share / share.sum() if share.sum() else share
         total = largest_total(size, share, cap) if total is None else total
-        natural = [sums(axis, len(x.dictionary)) / max(tokens.sum(), 1) for axis, x in enumerate(coded.values(), 1)]
-        self.fit = rake_cells(tokens, places, [share, *natural], cap, total)
-        wants = pa.table({"source": found["source"], "lang": found["lang"], "topic": found["topic"], "want": self.fit.copies, "cap": cap[places[0]]}).filter(pa.array(tokens > 0))
-        cells = spark.createDataFrame(wants)
-        drawn = known.join(F.broadcast(cells) if wants.num_rows <= MOST_SENT else cells, ["source", "lang", "topic"])
+        found = grouped.limit(max_cells + 1).toArrow()  # a row per cell
+        if found.num_rows <= max_cells:
+            found = found.sort_by([(c, "ascending") for c in ("source", "lang", "topic")])
+            tokens = found["t"].to_numpy().astype(float)
+            coded = {c: found[c].combine_chunks().dictionary_encode() for c in ("lang", "topic")}
+            number = {x: i for i, x in enumerate(sources)}
+            places = [np.array([number[x] for x in found["source"].to_pylist()], int), *(x.indices.to_numpy() for x in coded.values())]
+            natural = [np.bincount(places[axis], tokens, len(x.dictionary)) / max(all_tokens, 1) for axis, x in enumerate(coded.values(), 1)]
+            self.fit = rake_cells(tokens, places, [share, *natural], cap, total)
+            wants = pa.table({"source": found["source"], "lang": found["lang"], "topic": found["topic"], "want": self.fit.copies, "cap": cap[places[0]]}).filter(pa.array(tokens > 0))
+            cells = spark.createDataFrame(wants)
+            cells = F.broadcast(cells) if wants.num_rows <= MOST_SENT else cells
+        else:  # the same fit where the cells lie
+            table, self.fit = rake_table(grouped, dict(zip(sources, share, strict=False)), dict(zip(sources, cap, strict=False)), total, scratch)
+            cells = table.where("t > 0").select("source", "lang", "topic", F.col("copies").alias("want"), "cap")
+        drawn = known.join(cells, ["source", "lang", "topic"])
         whole, u = F.floor("want"), (F.xxhash64("id").bitwiseAND((1 << 52) - 1)) / F.lit(float(1 << 52))
         part = F.col("want") - whole
         drawn = drawn.select("id", "source", "lang", "topic", "tokens", whole.cast("int").alias("whole"), "cap", F.when(part > 0, u / part).alias("ratio"))
@@ -202,5 +270,5 @@ class Mixture:
         reached = each(placed).groupBy("axis", "value").agg(F.sum(F.col("tokens") * F.col("copies")).alias("tokens_drawn"))
         self.marginals = there.join(reached, ["axis", "value"], "left").select(
             "axis", F.nullif("value", F.lit("")).alias("value"), "tokens_available", zero("tokens_drawn").alias("tokens_drawn"),
-            (F.col("tokens_available") / F.lit(max(float(tokens.sum()), 1.0))).alias("share_wanted"), (zero("tokens_drawn") / F.lit(max(drawn_all, 1.0))).alias("share_reached"),
+            (F.col("tokens_available") / F.lit(max(all_tokens, 1.0))).alias("share_wanted"), (zero("tokens_drawn") / F.lit(max(drawn_all, 1.0))).alias("share_reached"),
         )

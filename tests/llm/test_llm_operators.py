@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import random
 from collections import Counter
 
@@ -324,6 +325,21 @@ def test_mixture_many_topics(spark, scratch):
         assert abs(r.share_reached - r.tokens_drawn / drawn.total()) < 1e-9
 
 
+def test_mixture_in_a_table(spark, scratch, monkeypatch):
+    """Cells beyond what the driver holds are fitted alike, step by step: same copies, same sample."""
+    for name in ("rake_cells", "rake_table"):
+        monkeypatch.setattr(mixture, name, functools.partial(getattr(mixture, name), rounds=3))
+    rng = random.Random(15)
+    docs = [(i, rng.choice(["a", "a", "a", "b", "c"]), rng.choice(["en", "de", None]), f"t{int(rng.paretovariate(1)) % 9}", rng.randrange(50)) for i in range(1500)]
+    d = spark.createDataFrame(docs, "id long, source string, lang string, topic string, tokens long")
+    t = spark.createDataFrame([("a", 0.3, 1.0), ("b", 0.5, 3.0), ("c", 0.2, 2.0), ("gone", 0.1, 2.0)], "source string, target_share double, max_repeats double")
+    one, two = (mixture.Mixture(d, t, scratch, max_cells=n) for n in (mixture.MAX_CELLS, 3))
+    assert all(abs(one.fit.worst[axis] - two.fit.worst[axis]) < 1e-9 for axis in ("source", "language", "topic"))
+    assert sorted(map(tuple, one.sample.collect())) == sorted(map(tuple, two.sample.collect()))
+    assert sorted(map(str, one.report.collect())) == sorted(map(str, two.report.collect()))
+    assert mixture.Mixture(d.limit(0), t, scratch, max_cells=0).sample.count() == 0
+
+
 # shared spans
 
 
