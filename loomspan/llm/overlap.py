@@ -6,7 +6,8 @@ the rest's norm or by the rest's weights times the greatest weights they can mee
 vectors share stands in both prefixes. A term whose two lists are very long is split by the second shared term, which
 stands in prefixes that are as much longer as one more term needs; lists that stay long are cut
 into a grid of parts, so that no task looks at much more than `crowd` pairs of a key. Where two lists meet, the norms of what follows
-and a bit signature of the terms bound the dot product from above; what is left gets its exact dot product.
+and, for plain counts, a bit signature of the terms, else a sketch of norms by classes of terms, bound the dot product
+from above; what is left gets its exact dot product.
 
 A pair counts if dot(x, y) >= t * max(|x|^2, |y|^2). With `unit_weight`, plain counts, it means that t of the longer
 text's words are shared, which every pair within 1 - t word edits fulfils: no such pair is lost. With `idf_weight`
@@ -32,6 +33,7 @@ from loomspan.operators.skew import lookup
 from loomspan.scratch import Scratch
 
 FLUSH = 200_000
+BINS = 64
 SLACK = 1e-9
 
 
@@ -125,8 +127,8 @@ class Weights:
 def _prefixes(frequent, t: float, weights: Weights, twice: bool = False):
     """Rows of the inverted lists: a row per term of the prefix, or, `twice`, per term and a later one of the longer
     prefix, with `first`, the term itself, whose weight and rest bound the dot product."""
-    schema = pa.schema([*_LIST, ("first", pa.int64())]) if twice else _LIST
     plain = weights.weigh is unit_weight and not weights.unit
+    schema = pa.schema([*_LIST, *([] if plain else [("sketch", pa.binary())]), *([("first", pa.int64())] if twice else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, greatest = frequent.value
@@ -158,7 +160,7 @@ def _prefixes(frequent, t: float, weights: Weights, twice: bool = False):
             return own, p, rest
 
         for batch in (b.slice(k, 2000) for b in batches for k in range(0, b.num_rows, 2000)):
-            keys, firsts, ws, rests, sizes, texts = [], [], [], [], [], []
+            keys, firsts, ws, rests, sizes, texts, sketches = [], [], [], [], [], [], []
             for text in batch.column("text_key").to_pylist():
                 terms = sorted([(get(x, 0), x) for x in numbered(text.split(" "))])
                 own, p, rest = shape(terms)
@@ -185,11 +187,37 @@ def _prefixes(frequent, t: float, weights: Weights, twice: bool = False):
                     ws += own[:p]
                     rests += rest
                 sizes.append(len(keys) - made)
-                texts.append((sum([w * w for w in own]), len(terms), s1 - (1 << 64) if s1 >> 63 else s1, s2 - (1 << 64) if s2 >> 63 else s2))
+                square = sum([w * w for w in own])
+                if not plain:
+                    sketches.append(sketch([x[0] for x in coded], own, square))
+                texts.append((square, len(terms), s1 - (1 << 64) if s1 >> 63 else s1, s2 - (1 << 64) if s2 >> 63 else s2))
             at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
             square, n, s1, s2 = (pa.array(x, k).take(at) for x, k in zip(zip(*texts, strict=True), (pa.float32(), pa.int32(), pa.int64(), pa.int64()), strict=True))
             same = [batch.column(c).take(at) for c in ("rep", "train", "held")]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *same, pa.array(ws, pa.float32()), pa.array(rests, pa.float32()), square, n, s1, s2, *([pa.array(firsts, pa.int64())] if twice else [])], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *same, pa.array(ws, pa.float32()), pa.array(rests, pa.float32()), square, n, s1, s2, *([] if plain else [pa.array(sketches, pa.binary()).take(at)]), *([pa.array(firsts, pa.int64())] if twice else [])], schema=schema)
+
+    return run
+
+
+def sketch(hashes: list[int], weights: list[float], square: float) -> bytes:
+    """A vector's share of its norm in each of BINS classes of terms, rounded up to 255ths."""
+    held = [0.0] * BINS
+    for h, w in zip(hashes, weights, strict=True):
+        held[h % BINS] += w * w
+    return bytes([min(255, math.ceil(255 * math.sqrt(x / square))) if x else 0 for x in held])
+
+
+def _near():
+    """(x, y) of the rows (x, y, need, sketch_x, sketch_y) whose sketches don't rule a dot product of `need`, as a share of both
+    norms, out: class by class it is at most the product of the shares."""
+    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.float32) for c in (3, 4))
+            bound = np.einsum("ij,ij->i", a, b) / (255.0 * 255.0)
+            keep = pa.array(bound >= batch.column(2).to_numpy() - 1e-5)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=schema).filter(keep)
 
     return run
 
@@ -298,7 +326,9 @@ class Overlap:
             most = vectors.select("text_key").mapInArrow(_greatest(sc.broadcast(counts), weights), "term string, w double").groupBy("term").agg(F.max("w").alias("w"))
             greatest = {r.term: r.w for r in most.collect()}  # a row per frequent term
         shared = sc.broadcast((counts, greatest))
-        lists = scratch.save(vectors.mapInArrow(_prefixes(shared, threshold, weights), _LIST_DDL))
+        plain = weigh is unit_weight
+        ddl, columns = (_LIST_DDL, _COLUMNS) if plain else (f"{_LIST_DDL}, sketch binary", (*_COLUMNS, "sketch"))
+        lists = scratch.save(vectors.mapInArrow(_prefixes(shared, threshold, weights), ddl))
 
         def crowded(of: DataFrame) -> DataFrame:
             both = of.groupBy("term").agg(F.count_if("train").alias("a"), F.count_if("held").alias("b"))
@@ -310,12 +340,12 @@ class Overlap:
         if again:
             first = hot.select(F.col("term").alias("first"))
             of_hot = lists.join(hot, "term", "left_semi").select("rep").distinct()
-            split = vectors.join(of_hot, "rep", "left_semi").mapInArrow(_prefixes(shared, threshold, weights, twice=True), f"{_LIST_DDL}, first long")
+            split = vectors.join(of_hot, "rep", "left_semi").mapInArrow(_prefixes(shared, threshold, weights, twice=True), f"{ddl}, first long")
             lists = scratch.save(lists.join(hot, "term", "left_anti").unionByName(split.join(first, "first", "left_semi").select(lists.columns)), lists)
             hot = crowded(lists)
             again = not hot.isEmpty()
-        x = lists.where("train").select("term", *[F.col(c).alias(f"{c}_x") for c in _COLUMNS])
-        y = lists.where("held").select("term", *[F.col(c).alias(f"{c}_y") for c in _COLUMNS])
+        x = lists.where("train").select("term", *[F.col(c).alias(f"{c}_x") for c in columns])
+        y = lists.where("held").select("term", *[F.col(c).alias(f"{c}_y") for c in columns])
         on = ["term"]
         if again:  # what is still long is cut into a grid of parts, each of them copied to all that it must meet
 
@@ -329,10 +359,14 @@ class Overlap:
         need = t * F.greatest("square_x", "square_y")
         close = x.join(y, on).where(F.col("rep_x") != F.col("rep_y"))
         close = close.where((F.least("square_x", "square_y") >= need * t) & (F.col("w_x") * F.col("w_y") + F.col("rest_x") * F.col("rest_y") >= need))
-        if weigh is unit_weight:  # terms on one side only: at least the signatures' different bits
+        if plain:  # terms on one side only: at least the signatures' different bits
             differ = F.bit_count(F.col("s1_x").bitwiseXOR(F.col("s1_y"))) + F.bit_count(F.col("s2_x").bitwiseXOR(F.col("s2_y")))
             close = close.where(differ <= F.col("n_x") + F.col("n_y") - 2 * need)
-        candidates = close.select(F.col("rep_x").alias("x"), F.col("rep_y").alias("y")).distinct()
+        candidates = close.select(F.col("rep_x").alias("x"), F.col("rep_y").alias("y"))
+        if not plain:
+            share = (need / F.sqrt(F.col("square_x") * F.col("square_y"))).cast("double").alias("need")
+            candidates = close.select("rep_x", "rep_y", share, "sketch_x", "sketch_y").mapInArrow(_near(), "x long, y long")
+        candidates = candidates.distinct()
         texts = self.classes.select("rep", "text_key")
         pairs = candidates.join(texts.select(F.col("rep").alias("x"), F.col("text_key").alias("text_x")), "x").join(texts.select(F.col("rep").alias("y"), F.col("text_key").alias("text_y")), "y")
         exact = pairs.select("x", "y", "text_x", "text_y").mapInArrow(_verify(shared, threshold, weights, edits), "x long, y long, cosine double")
