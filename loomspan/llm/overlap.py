@@ -85,13 +85,13 @@ def prefix_length(weights: list[float], most: list[float], t: float, spare: floa
     """How many of the first terms must be indexed. most[i]: the greatest weight that term i can meet; spare: what terms
     of the prefix may add to the rest without reaching the threshold; longest: the greatest norm a vector that qualifies
     can have. Above len(weights) if even no rest is too much."""
-    square = sum(w * w for w in weights)
+    square = sum([w * w for w in weights])
     need, norm, n = t * square * (1 - SLACK) - spare, math.sqrt(square), len(weights)
     if need <= 0:
         return n + 1
     # a vector that qualifies has at most norm / t
     longest = norm / t if longest is None else min(longest, norm / t)
-    rest, meet, p = square, sum(w * m for w, m in zip(weights, most, strict=True)), 0
+    rest, meet, p = square, sum(map(operator.mul, weights, most)), 0
     # the first terms are few: what follows them falls below the need soon
     while p < n and rest > 0 and math.sqrt(rest) * longest >= need - SLACK and meet >= need - SLACK:
         w = weights[p]
@@ -113,9 +113,10 @@ class Weights:
         self.weigh, self.unit = weigh, unit
 
     def vector(self, terms: list[tuple[int, str]]) -> list[float]:
-        out = [self.weigh(c, x) for c, x in terms]
+        weigh = self.weigh
+        out = [weigh(c, x) for c, x in terms]
         if self.unit:
-            norm = math.sqrt(sum(w * w for w in out)) or 1.0
+            norm = math.sqrt(sum([w * w for w in out])) or 1.0
             out = [w / norm for w in out]
         return out
 
@@ -151,7 +152,7 @@ def _prefixes(frequent, t: float, weights: Weights, twice: bool = False):
             if plain and len(terms) in shapes:
                 return shapes[len(terms)]
             own = weights.vector(terms)
-            after, p, rest = sum(w * w for w in own), prefix_length(own, weights.most(terms, own, greatest), t, longest=norm), []
+            after, p, rest = sum([w * w for w in own]), prefix_length(own, weights.most(terms, own, greatest), t, longest=norm), []
             for w in own[:p]:
                 after -= w * w
                 rest.append(math.sqrt(max(after, 0.0)))
@@ -201,10 +202,13 @@ def _prefixes(frequent, t: float, weights: Weights, twice: bool = False):
 
 def sketch(hashes: list[int], weights: list[float], square: float) -> bytes:
     """A vector's share of its norm in each of BINS classes of terms, rounded up to 255ths."""
-    held = [0.0] * BINS
+    held: dict[int, float] = {}
     for h, w in zip(hashes, weights, strict=True):
-        held[h % BINS] += w * w
-    return bytes([min(255, math.ceil(255 * math.sqrt(x / square))) if x else 0 for x in held])
+        held[h % BINS] = held.get(h % BINS, 0.0) + w * w
+    out = bytearray(BINS)
+    for k, x in held.items():
+        out[k] = min(255, int(255 * math.sqrt(x / square)) + 1)
+    return bytes(out)
 
 
 def _near():
@@ -228,8 +232,17 @@ def unit_weight(count: int, term: str) -> float:
 
 def idf_weight(total: int, floor: float):
     """The inverse document frequency; terms of no more than `floor` texts, whose counts aren't kept, weigh alike."""
-    top = math.log(1 + total / max(floor, 1.0))
-    return lambda count, term: math.log(1 + total / count) if count > floor else top
+    top, known = math.log(1 + total / max(floor, 1.0)), {}
+
+    def weigh(count: int, term: str) -> float:
+        if count <= floor:
+            return top
+        w = known.get(count)
+        if w is None:
+            w = known[count] = math.log(1 + total / count)
+        return w
+
+    return weigh
 
 
 def word_edits(a: list[str], b: list[str], most: int) -> int:
@@ -287,7 +300,7 @@ def _greatest(frequent, weights: Weights):
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 terms = [(counts.get(x, 0), x) for x in numbered(text.split(" "))]
-                for (c, x), w in zip(terms, weights.vector(terms), strict=True):
+                for (c, x), w in zip(terms, weights.vector(terms)):
                     if c and w > most.get(x, 0.0):
                         most[x] = w
         yield pa.RecordBatch.from_arrays([pa.array(list(most), pa.string()), pa.array(list(most.values()), pa.float64())], ["term", "w"])
