@@ -47,12 +47,12 @@ def hierarchy(links: DataFrame, *, scope: str, child: str, parent: str, scratch:
         for part in settled:
             known = known.unionByName(part.select("id", "up", "hop", F.lit(True).alias("done")))
         above = known.select(F.col("id").alias("up"), F.struct("up", "hop", "done").alias("at"))
-        risen = lookup(active, above, "up", n).select("id", F.struct(F.col("at.up").alias("up"), (F.col("hop") + F.col("at.hop")).alias("hop"), F.col("at.done").alias("done")).alias("to"), "size")
-        # what a node has below it, and what lies `hop` below adds to that, meet at the node
-        rise = active.groupBy(F.col("up").alias("id")).agg(F.sum("size").alias("size")).select("id", F.lit(None).cast(risen.schema["to"].dataType).alias("to"), "size")
-        met = risen.unionByName(rise).groupBy("id").agg(F.max("to").alias("to"), F.sum("size").alias("size")).where("to is not null")
+        risen = lookup(active, above, "up", n).select("id", "at.up", (F.col("hop") + F.col("at.hop")).alias("hop"), F.col("at.done").alias("done"), "size")
+        # what lies `hop` below a node adds to what it has below it
+        rise = active.groupBy(F.col("up").alias("id")).agg(F.sum("size").alias("more"))
+        met = risen.join(rise, "id", "left").select("id", "up", "hop", "done", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size"))
         seen = Observation()
-        moved = scratch.save(met.select("id", "to.*", "size").observe(seen, F.count_if(~F.col("done")).alias("left")))
+        moved = scratch.save(met.observe(seen, F.count_if(~F.col("done")).alias("left")))
         settled.append(moved.where("done").select("id", "up", "hop"))
         active = moved.where("not done").select("id", "up", "hop", "size")
         before, left = left, seen.get["left"]
