@@ -164,10 +164,12 @@ def _mixture(spark: SparkSession, d: str) -> Mixture:
 
 def p9_report(spark: SparkSession, d: str) -> DataFrame:
     """What the mixture must hold for each target: no record repeated too often, and, as far as the source has documents,
-    a share within one point of the wanted one."""
-    near = F.abs(F.col("share_reached") - F.col("share_wanted")) <= 0.01
+    a share within one point and the size of the largest record of the wanted one."""
+    m = _mixture(spark, d)
+    size = m.sample.agg(F.max("tokens"), F.sum(F.col("tokens") * F.col("copies"))).first()
+    near = F.abs(F.col("share_reached") - F.col("share_wanted")) <= 0.01 + (size[0] or 0) / max(size[1] or 0, 1)
     kept = F.col("most_copies") <= F.floor(F.coalesce("max_repeats", F.lit(1.0)))
-    return _mixture(spark, d).report.where("target_share is not null").select("source", "target_share", near.alias("share_near"), kept.alias("repeats_kept"), (F.col("documents") > 0).alias("has_documents"))
+    return m.report.where("target_share is not null").select("source", "target_share", near.alias("share_near"), kept.alias("repeats_kept"), (F.col("documents") > 0).alias("has_documents"))
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
