@@ -63,10 +63,11 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _opened(rows: DataFrame, json: str) -> DataFrame:
-    """rows with the leaves of their raw values, as text, whatever fields the data's values have."""
+    """rows with the leaves of their raw values, coordinates as numbers and all else as text, whatever fields the data's values
+    have."""
     wanted = {"type": "value_type", "value": "plain", "value_id": "item", "value_amount": "amount", "value_time": "time", "value_text": "text", "value_language": "language", "value_latitude": "latitude"}
     leaves = {name: c for name, c in json_fields(rows, F.col(json))}
-    return rows.select("row_id", "parent_id", F.col("ordinal").cast("long").alias("ordinal"), "map_key", *[leaves.get(k, F.lit(None)).cast("string").alias(v) for k, v in wanted.items()])
+    return rows.select("row_id", "parent_id", F.col("ordinal").cast("long").alias("ordinal"), "map_key", *[leaves.get(k, F.lit(None)).cast("double" if v == "latitude" else "string").alias(v) for k, v in wanted.items()])
 
 
 def p2_claim_values(spark: SparkSession, d: str) -> DataFrame:
@@ -234,8 +235,8 @@ down as (
 #: The leaves of a raw value.
 _LEAVES = ", ".join(
     f"json_extract_string(try_cast({{0}} as json), '{path}') as {name}"
-    for path, name in (("$.type", "value_type"), ("$.value.id", "item"), ("$.value.amount", "amount"), ("$.value.time", "time"), ("$.value.text", "text"), ("$.value.language", "language"), ("$.value.latitude", "latitude"))
-) + ", case when json_type(try_cast({0} as json), '$.value') <> 'OBJECT' then json_extract_string(try_cast({0} as json), '$.value') end as plain"
+    for path, name in (("$.type", "value_type"), ("$.value.id", "item"), ("$.value.amount", "amount"), ("$.value.time", "time"), ("$.value.text", "text"), ("$.value.language", "language"))
+) + ", cast(json_extract_string(try_cast({0} as json), '$.value.latitude') as double) as latitude, case when json_type(try_cast({0} as json), '$.value') <> 'OBJECT' then json_extract_string(try_cast({0} as json), '$.value') end as plain"
 
 _MENTIONS_SQL = f"""
 m as (
