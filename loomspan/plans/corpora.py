@@ -147,13 +147,19 @@ def sk05_saved_symbols(t):
 _TWO = "select sent_idx_unq, string_split_regex(trim(sentence), '\\s+') as w from sentences where sent_idx_unq is not null and trim(sentence) <> ''"
 
 
-def _iob(t, name: str, url: list) -> str:
-    """Sentences as documents of two lines each, the second the same again; its first two words are a mention."""
+def _iob(t, name: str, url: list, **how) -> tuple[DataFrame, DataFrame]:
+    """Sentences as documents of two lines each, the second the same again; its first two words are a mention. The files
+    go as soon as they have been read."""
     w = t.sentences.where("trim(sentence) != ''").select("sent_idx_unq", F.split(F.trim("sentence"), r"\s+").alias("w")).where("size(w) > 1")
     mention = F.concat_ws(" ", F.get("w", F.lit(0)), F.get("w", F.lit(1)))
     line = lambda x, i: F.when(i < 2, F.concat_ws("\t", x, F.when(i == 0, "B").otherwise("I"), mention, *url)).otherwise(x)
     body = F.array_join(F.transform("w", line), "\n")
-    return _lines(t, name, w.select(F.concat(F.lit("-DOCSTART- ("), F.col("sent_idx_unq"), F.lit(" X)\n"), F.array_join("w", "\n"), F.lit("\n\n"), body, F.lit("\n")).alias("value")))
+    text = F.concat(F.lit("-DOCSTART- ("), F.col("sent_idx_unq"), F.lit(" X)\n"), F.array_join("w", "\n"), F.lit("\n\n"), body, F.lit("\n"))
+    folder = Scratch(t.spark, name)
+    w.select(text.alias("value")).write.text(folder.root)
+    read = corpora.iob(t.spark, folder.root, **how)
+    folder.close()
+    return read
 
 
 _LOWER = "case when regexp_matches(substring(x, 2, 1), '\\p{Lu}') then lower(x) else x end"
@@ -162,7 +168,7 @@ _LOWER = "case when regexp_matches(substring(x, 2, 1), '\\p{Lu}') then lower(x)
 @query(f"with d as ({_TWO}) select sent_idx_unq::varchar as doc_id, array_to_string(list_transform(w, lambda x: {_LOWER}), ' ') as line, lower(w[1] || ' ' || w[2]) as alias, 0::bigint as start_, 2::bigint as end_, 'http://x/' || sent_idx_unq as url from d where len(w) > 1")
 def sc12_iob(t):
     """Documents with word-level marks: the second line of each has a mention (pj13)."""
-    sents, found = corpora.iob(t.spark, _iob(t, "sc12", [F.lit("x"), F.concat(F.lit("http://x/"), "sent_idx_unq")]))
+    sents, found = _iob(t, "sc12", [F.lit("x"), F.concat(F.lit("http://x/"), "sent_idx_unq")])
     both = found.where("al = 0").join(sents, ["doc_id", "sent"])
     return both.select("doc_id", F.array_join("tokens", " ").alias("line"), "alias", F.col("start").cast("long").alias("start_"), F.col("end").cast("long").alias("end_"), "url")
 
@@ -171,21 +177,21 @@ def sc12_iob(t):
 def pj15_iob_with_ids(t):
     """The variant whose mentions may be --NME-- and have the entity's id in a further column."""
     nil = F.when(F.col("sent_idx_unq") % 3 == 0, "--NME--").otherwise("u")
-    _, found = corpora.iob(t.spark, _iob(t, "pj15", [nil, F.concat(F.lit("Q"), "sent_idx_unq")]), skip_nil=True)
+    _, found = _iob(t, "pj15", [nil, F.concat(F.lit("Q"), "sent_idx_unq")], skip_nil=True)
     return found.select("doc_id", "alias", "qid")
 
 
 @query(f"with d as ({_TWO}), l as (select sent_idx_unq, array_to_string(list_transform(w, lambda x: {_LOWER}), ' ') as line from d where len(w) > 1) select sent_idx_unq::varchar as doc_id, line || ' [SEP] ' || line as text from l")
 def pj14_title_scope(t):
     """Sentences behind their document's first one; those without a mention are dropped."""
-    sents, found = corpora.iob(t.spark, _iob(t, "pj14", [F.lit("x"), F.lit("u")]))
+    sents, found = _iob(t, "pj14", [F.lit("x"), F.lit("u")])
     return corpora.with_title_scope(sents, anchors=found).select("doc_id", "text")
 
 
 @query(f"with d as ({_TWO}), l as (select sent_idx_unq, w, list_transform(w, lambda x: {_LOWER}) as v from d where len(w) > 1) select sent_idx_unq::varchar as doc_id, array_to_string(list_concat(v, v), ' ') as text, lower(w[1] || ' ' || w[2]) as aliases, len(w) || ':' || (len(w) + 2) as spans, 'u' as qids from l")
 def pj23_document_scope(t):
     """Each document as one record, the spans moved along (pj20, pj21)."""
-    whole, found = corpora.document_scope(*corpora.iob(t.spark, _iob(t, "pj23", [F.lit("x"), F.lit("u")])))
+    whole, found = corpora.document_scope(*_iob(t, "pj23", [F.lit("x"), F.lit("u")]))
     out = corpora.records(whole.withColumn("text", F.array_join("tokens", " ")), found.drop("qid").withColumnRenamed("url", "qid"), ["doc_id", "sent"], "text")
     return out.select("doc_id", "text", *[F.array_join(c, "|").alias(c) for c in ("aliases", "spans", "qids")])
 

@@ -1,14 +1,21 @@
 """Readers of entity-linking corpora into one shape: documents, sentences and mentions with word or character spans.
 
-Each reads whole files, one document group a file, and numbers the lines inside; boundaries are found with running
-counts over that order, so a file is never walked by the driver.
+IOB files are read block by block, and what is counted in each block is moved on by the blocks before it. The readers of
+candidate lists read whole files, one document group a file, and number the lines inside; boundaries are found with
+running counts over that order, so a file is never walked by the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomspan.scratch import Scratch
+
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, n, line) of text files, numbered within each file."""
@@ -25,25 +32,83 @@ def _token(t: Column) -> Column:
     return F.when(F.substring(t, 2, 1).rlike(r"\p{Lu}"), F.lower(t)).otherwise(t)
 
 
+_PIECES = "file string, block long, at long, docs long, sents long, number string, whole boolean, lines array<string>"
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines (file, block, line, start, mark, number) in order to pieces of sentences: the lines between two marks, cut also
+    where a batch or a block ends. docs, sents and number are counted and carried within the block."""
+    chunk, at, docs, sents, number = None, 0, 0, 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        codes, blocks = batch["file"].dictionary_encode().indices.to_numpy(), batch["block"].to_numpy()
+        edges = np.flatnonzero((codes[1:] != codes[:-1]) | (blocks[1:] != blocks[:-1])) + 1
+        for low, high in zip([0, *edges], [*edges, batch.num_rows], strict=True):
+            t = batch.slice(low, high - low)
+            if (here := (t["file"][0].as_py(), t["block"][0].as_py())) != chunk:
+                chunk, at, docs, sents, number = here, 0, 0, 0, None
+            start, mark = (t[c].to_numpy(zero_copy_only=False) for c in ("start", "mark"))
+            opens = mark.copy()
+            opens[0] = True
+            first = np.flatnonzero(opens)
+            head = np.maximum.accumulate(np.where(start, np.arange(len(start)), -1))
+            numbers = t["number"].take(pa.array(head[first], mask=head[first] < 0))
+            if number is not None:
+                numbers = numbers.fill_null(number)
+            bounds = np.append(np.cumsum(~mark) - ~mark, np.sum(~mark))[[*first, len(mark)]].astype(np.int32)
+            lines = pa.ListArray.from_arrays(pa.array(bounds), t["line"].filter(pa.array(~mark)))
+            whole = mark[first]
+            whole[-1] = False  # it may go on
+            n = len(first)
+            yield pa.RecordBatch.from_arrays(
+                [t["file"].take(pa.array(first)), t["block"].take(pa.array(first)), pa.array(at + first), pa.array(docs + np.cumsum(start)[first]), pa.array(sents + np.cumsum(mark)[first]), numbers, pa.array(whole), lines],
+                names=["file", "block", "at", "docs", "sents", "number", "whole", "lines"],
+            )
+            at, docs, sents, number = at + len(mark), docs + int(start.sum()), sents + int(mark.sum()), numbers[n - 1].as_py()
+
+
+def _sentences(spark: SparkSession, path: str) -> DataFrame:
+    """(file, doc_id, sent, lines) of IOB files, read in blocks as Spark splits them, never a file at once; sent is numbered
+    in the file, by its marks: blank lines and beginnings of documents.
+
+    Only sentences cut by the end of a block or batch are shuffled. The pieces are saved, so that all that is read from
+    them sees the same blocks; a row per block, with the counts before it, is broadcast."""
+    value = F.col("value")
+    line = F.when(value.endswith("\r"), F.substring(value, F.lit(1), F.length(value) - 1)).otherwise(value)
+    rows = spark.read.text(path, lineSep="\n").select(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), line.alias("line"))
+    start = F.col("line").startswith("-DOCSTART-")
+    rows = rows.select("file", "block", "line", start.alias("start"), (start | (F.trim("line") == "")).alias("mark"), F.when(start, F.regexp_extract("line", r"\((\d+)", 1)).alias("number"))
+    pieces = Scratch(spark, "iob").save(rows.mapInArrow(_cut, _PIECES))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = pieces.groupBy("file", "block").agg(F.max("docs").alias("docs"), F.max("sents").alias("sents"), F.max_by("number", "at").alias("number"))
+    count = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before")
+    blocks = blocks.select("file", "block", count("docs"), count("sents"), F.last("number", ignorenulls=True).over(before).alias("number_before"))
+    placed = pieces.where(F.size("lines") > 0).join(F.broadcast(blocks), ["file", "block"])
+    doc, number = (F.col("docs") + F.col("docs_before")).cast("string"), F.coalesce("number", "number_before")
+    doc_id = F.when(number.isNull(), F.col("file")).when(number == "", doc).otherwise(number)
+    placed = placed.select("file", doc_id.alias("doc_id"), (F.col("sents") + F.col("sents_before")).alias("sent"), "whole", "block", "at", "lines")
+    joined = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("block", "at", "lines"))), lambda x: x["lines"]))
+    cut = placed.where(~F.col("whole")).groupBy("file", "doc_id", "sent").agg(joined.alias("lines"))
+    return placed.where("whole").select("file", "doc_id", "sent", "lines").unionByName(cut)
+
+
 def iob(spark: SparkSession, path: str, url_column: int = 4, skip_nil: bool = False) -> tuple[DataFrame, DataFrame]:
     """(sentences, mentions) of IOB files: -DOCSTART- lines begin documents, blank lines end sentences.
 
     sentences: (doc_id, sent, tokens). mentions: (doc_id, sent, alias, start, end, url, al, qid), spans in words, al
     numbered within the document. A B line that has the URL column opens a mention and I lines that follow belong to it.
     skip_nil: the URL stands one column before, --NME-- mentions are left out, and a column behind it, where there is
-    one, holds the entity's id, which beats the URL; else qid is null.
+    one, holds the entity's id, which beats the URL; else qid is null. The files are read at once, into a scratch table.
     """
-    rows = _lines(spark, path)
-    start = F.col("line").startswith("-DOCSTART-")
-    rows = rows.withColumn("doc", _running(start, ["file"])).withColumn("sent", _running((F.trim("line") == "") | start, ["file"]))
-    names = rows.where(start).select("file", "doc", F.coalesce(F.nullif(F.regexp_extract("line", r"\((\d+)", 1), F.lit("")), F.col("doc").cast("string")).alias("doc_id"))
-    body = rows.where(~start & (F.trim("line") != "")).withColumn("c", F.split("line", "\t")).withColumn("w", F.row_number().over(Window.partitionBy("file", "sent").orderBy("n")) - 1)
-    body = body.join(names, ["file", "doc"], "left").withColumn("doc_id", F.coalesce("doc_id", F.col("file")))
-    sents = body.groupBy("doc_id", "sent").agg(F.transform(F.sort_array(F.collect_list(F.struct("w", _token(F.get("c", F.lit(0))).alias("t")))), lambda x: x["t"]).alias("tokens"))
-    tagged = body.where(F.size("c") > url_column - 1) if skip_nil else body.where(F.size("c") > url_column)
+    body = _sentences(spark, path)
+    sents = body.select("doc_id", "sent", F.transform("lines", lambda x: _token(F.substring_index(x, "\t", 1))).alias("tokens"))
+    words = F.transform("lines", lambda x, i: F.struct(i.alias("w"), F.split(x, "\t").alias("c")))
+    least = url_column - 1 if skip_nil else url_column
+    tagged = body.select("file", "doc_id", "sent", F.explode(F.filter(words, lambda x: F.size(x["c"]) > least)).alias("x")).select("file", "doc_id", "sent", "x.w", "x.c")
     opens = F.get("c", F.lit(1)) == "B"
-    tagged = tagged.withColumn("m", _running(opens, ["file", "sent"])).withColumn("url", F.get("c", F.lit(url_column if not skip_nil else url_column - 1)))
-    found = tagged.where("m > 0").groupBy("doc_id", "sent", "m").agg(F.min("w").alias("start"), (F.max("w") + 1).alias("end"), F.min_by(F.get("c", F.lit(2)), "w").alias("alias"), F.min_by("url", "w").alias("url"), F.min_by(F.get("c", F.lit(url_column)) if skip_nil else F.lit(None).cast("string"), "w").alias("qid"))
+    tagged = tagged.withColumn("m", _running(opens, ["file", "sent"], "w")).withColumn("url", F.get("c", F.lit(url_column if not skip_nil else url_column - 1)))
+    found = tagged.where("m > 0").groupBy("file", "sent", "doc_id", "m").agg(F.min("w").alias("start"), (F.max("w") + 1).alias("end"), F.min_by(F.get("c", F.lit(2)), "w").alias("alias"), F.min_by("url", "w").alias("url"), F.min_by(F.get("c", F.lit(url_column)) if skip_nil else F.lit(None).cast("string"), "w").alias("qid"))
     if skip_nil:
         found = found.where(~F.col("url").startswith("--NME--"))
     al = F.row_number().over(Window.partitionBy("doc_id").orderBy("sent", "m")) - 1
@@ -54,7 +119,7 @@ def with_title_scope(sents: DataFrame, first: int = 1, delimiter: str = "[SEP]",
     """(doc_id, sent, text): each sentence after the document's first ones and a delimiter; the first ones as they are.
     anchors: (doc_id, sent) of mentions; sentences without any have no row, though they still scope others."""
     n = F.row_number().over(Window.partitionBy("doc_id").orderBy("sent"))
-    numbered = sents.withColumn("n", n).withColumn("line", F.array_join("tokens", " "))
+    numbered = sents.select("doc_id", "sent", F.array_join("tokens", " ").alias("line")).withColumn("n", n)
     head = numbered.where(F.col("n") <= first).groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]), " ").alias("head"))
     out = numbered.join(head, "doc_id")
     if anchors is not None:

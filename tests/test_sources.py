@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import gzip
 import json
+import random
 
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from loomspan.sources import corpora, files
@@ -117,3 +119,64 @@ def test_other_corpora(spark, tmp_path):
     assert c.first().concept_id == "C1"
     rel = spark.createDataFrame([("a", "is", "b"), ("a", "", "b"), ("a", None, "b"), ("a", "is", "a")], "head string, rela string, tail string")
     assert corpora.concept_relations(rel).count() == 1
+
+
+def loop(lines, name):
+    """Sentences and mentions of one IOB file, line by line."""
+    doc, docs, sent, sents, found, al, m = name, 0, 0, {}, [], {}, None
+    for x in lines:
+        if x.startswith("-DOCSTART-") or not x.strip(" "):
+            sent, m = sent + 1, None
+            if x.startswith("-"):
+                docs += 1
+                doc = "".join(c for c in x if c.isdigit()) or str(docs)
+            continue
+        c, tokens = x.split("\t"), sents.setdefault((doc, sent), [])
+        tokens.append(c[0].lower() if c[0][1:2].isupper() else c[0])
+        if len(c) > 4:
+            if c[1] == "B":
+                m = [doc, sent, c[2].lower(), len(tokens) - 1, 0, c[4], al.get(doc, 0)]
+                al[doc] = m[6] + 1
+                found.append(m)
+            if m:
+                m[4] = len(tokens)
+    return sorted((*k, *v) for k, v in sents.items()), sorted(map(tuple, found))
+
+
+def test_iob_in_blocks(spark, tmp_path):
+    """Files of several blocks, with sentences and documents over their edges, equal a loop over the whole files."""
+    rng, names, want = random.Random(3), [], ([], [])
+    for f in range(2):
+        lines, end = ["early", "words"] * f, "\r\n" if f else "\n"
+        for d in range(12):
+            lines.append(f"-DOCSTART- ({f}{d:03} X)" if d % 5 else "-DOCSTART-")
+            for _ in range(rng.choice([1, 3, 30])):
+                word = f"{rng.choice(['a', 'LO', 'Bé'])}{rng.randrange(99)}"
+                lines.append(rng.choice([word, word, "", "  ", f"{word}\tB\tThe {word}\tx\thttp://{word}", f"{word}\tI\tz\tx\ty", f"{word}\tB\tshort"]))
+        path = tmp_path / f"f{f}"
+        path.write_bytes(end.join(lines).encode())
+        names.append(path.as_uri())
+        for all_, one in zip(want, loop(lines, names[-1]), strict=True):
+            all_.append(one)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        assert spark.read.text(names[0]).rdd.getNumPartitions() > 2
+        for f, name in enumerate(names):
+            sents, found = corpora.iob(spark, name)
+            assert sorted((r.doc_id, r.sent, *r.tokens) for r in sents.collect()) == want[0][f]
+            assert sorted((r.doc_id, r.sent, r.alias, r.start, r.end, r.url, r.al) for r in found.collect()) == want[1][f]
+        sents, found = corpora.iob(spark, str(tmp_path))
+        assert sents.count() == sum(map(len, want[0])) and found.count() == sum(map(len, want[1]))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_iob_reads_no_file_as_a_row(spark, tmp_path, monkeypatch):
+    """A file may be larger than a task's memory."""
+    asked, text = [], DataFrameReader.text
+    monkeypatch.setattr(DataFrameReader, "text", lambda self, *a, **k: (asked.append(k.get("wholetext")), text(self, *a, **k))[1])
+    corpora.iob(spark, put(tmp_path / "aida", IOB))
+    assert asked and not any(asked)
