@@ -130,8 +130,8 @@ def with_title_scope(sents: DataFrame, first: int = 1, delimiter: str = "[SEP]",
 def document_scope(sents: DataFrame, mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Sentences (doc_id, sent, tokens) and mentions (doc_id, sent, start, end, ...) with each document as one sentence 0,
     the spans moved along."""
-    before = F.sum(F.size("tokens")).over(Window.partitionBy("doc_id").orderBy("sent")) - F.size("tokens")
-    placed = sents.select("doc_id", "sent", before.alias("_before"))
+    before = F.sum("_n").over(Window.partitionBy("doc_id").orderBy("sent")) - F.col("_n")
+    placed = sents.select("doc_id", "sent", F.size("tokens").alias("_n")).select("doc_id", "sent", before.alias("_before"))
     whole = sents.groupBy("doc_id").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("sent", "tokens"))), lambda x: x["tokens"])).alias("tokens"))
     moved = mentions.join(placed, ["doc_id", "sent"]).withColumn("start", (F.col("start") + F.col("_before")).cast("int")).withColumn("end", (F.col("end") + F.col("_before")).cast("int"))
     return whole.select("doc_id", F.lit(0).cast("long").alias("sent"), "tokens"), moved.withColumn("sent", F.lit(0).cast("long")).drop("_before")
