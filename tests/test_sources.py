@@ -6,6 +6,7 @@ import gzip
 import json
 import random
 
+import pytest
 from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
@@ -174,9 +175,11 @@ def test_iob_in_blocks(spark, tmp_path):
             spark.conf.set(k, v)
 
 
-def test_iob_reads_no_file_as_a_row(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("skip_nil", [False, True])
+def test_iob_reads_no_file_as_a_row(spark, tmp_path, monkeypatch, skip_nil):
     """A file may be larger than a task's memory."""
     asked, text = [], DataFrameReader.text
     monkeypatch.setattr(DataFrameReader, "text", lambda self, *a, **k: (asked.append(k.get("wholetext")), text(self, *a, **k))[1])
-    corpora.iob(spark, put(tmp_path / "aida", IOB))
+    _, found = corpora.iob(spark, put(tmp_path / "aida", IOB), skip_nil=skip_nil)
     assert asked and not any(asked)
+    assert [r.qid for r in found.orderBy("al").collect()] == ([f"http://en.wikipedia.org/wiki/{x}" for x in "AB"] if skip_nil else [None, None])
