@@ -169,8 +169,8 @@ _LOWER = "case when regexp_matches(substring(x, 2, 1), '\\p{Lu}') then lower(x)
 def sc12_iob(t):
     """Documents with word-level marks: the second line of each has a mention (pj13)."""
     sents, found = _iob(t, "sc12", [F.lit("x"), F.concat(F.lit("http://x/"), "sent_idx_unq")])
-    both = found.where("al = 0").join(sents, ["doc_id", "sent"])
-    return both.select("doc_id", F.array_join("tokens", " ").alias("line"), "alias", F.col("start").cast("long").alias("start_"), F.col("end").cast("long").alias("end_"), "url")
+    both = found.where("al = 0").join(sents.select("doc_id", "sent", F.array_join("tokens", " ").alias("line")), ["doc_id", "sent"])
+    return both.select("doc_id", "line", "alias", F.col("start").cast("long").alias("start_"), F.col("end").cast("long").alias("end_"), "url")
 
 
 @query(f"with d as ({_TWO}) select sent_idx_unq::varchar as doc_id, lower(w[1] || ' ' || w[2]) as alias, 'Q' || sent_idx_unq as qid from d where len(w) > 1 and sent_idx_unq % 3 <> 0")
