@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -11,7 +11,7 @@ from loomspan.functions.text import fold_alias, key, known_qid, strip
 from loomspan.operators.hierarchy import descent, hierarchy, paths
 from loomspan.operators.nested import json_fields, shred
 from loomspan.operators.skew import balanced_join, measure, plan_balance, value_counts
-from loomspan.operators.wide import cell_states, widen
+from loomspan.operators.wide import cell_states, long_values, widen
 from loomspan.plans.tables import parallelism, table
 from loomspan.scratch import Scratch
 
@@ -28,18 +28,26 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return cell_states(wide).where("state in ('conflict', 'unread')").select("qid", "property_id")
 
 
+def _cell_text(values: Column, datatype: str) -> Column:
+    """Values of a cell as one text, each once, in order."""
+    text = F.transform(values, lambda x: (x.cast("decimal(30,3)") if datatype == "quantity" else x).cast("string"))
+    return F.array_join(F.array_sort(F.array_distinct(text)), "|")
+
+
 def p1_wide(spark: SparkSession, d: str) -> DataFrame:
-    """The wide table; arrays as text, so that any engine compares them."""
-    wide = widen(table(spark, d, "entity_rels"), table(spark, d, "property_defs"))
-    out = [F.col("qid")]
-    for _, name, datatype, single in wide._properties:
-        c = F.col(name)
-        if not single and datatype == "quantity":
-            c = F.array_join(F.array_sort(F.transform(c, lambda x: x.cast("decimal(30,3)").cast("string"))), "|")
-        elif not single:
-            c = F.array_join(F.array_sort(F.transform(c, lambda x: x.cast("string"))), "|")
-        out.append(c.alias(name))
-    return wide.select(*out)
+    """The wide table; arrays as text, so that any engine compares them. Cells too long for a row of widen are filled in
+    from their values as rows, so that none is left out."""
+    rels, defs = table(spark, d, "entity_rels"), table(spark, d, "property_defs")
+    wide = widen(rels, defs)
+    many = [(p, name, datatype) for p, name, datatype, single in wide._properties if not single]
+    out = {name: F.col(name) for _, name, _, _ in wide._properties}
+    if many:
+        cell = long_values(rels, defs).groupBy("qid", "property_id").agg(F.collect_list("reading").alias("readings"))
+        read = {"quantity": "double", "time": "date"}
+        texts = [F.max(F.when(F.col("property_id") == p, _cell_text(F.col("readings").cast(f"array<{read.get(datatype, 'string')}>"), datatype))).alias(f"{name}__long") for p, name, datatype in many]
+        wide = wide.join(cell.groupBy("qid").agg(*texts), "qid", "left")
+        out |= {name: F.coalesce(F.col(f"{name}__long"), _cell_text(F.col(name), datatype)).alias(name) for _, name, datatype in many}
+    return wide.select("qid", *out.values())
 
 
 # 2 - nested records into flat tables

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import shutil
 from collections import Counter
 
 import pytest
+from oracle import compare, connect
 from pyspark.sql import functions as F
 
 from loomspan.functions import readings
@@ -14,7 +16,8 @@ from loomspan.functions.text import fold_alias, fold_title, key, known_qid, stri
 from loomspan.operators.hierarchy import descent, hierarchy, other_links, paths
 from loomspan.operators.nested import json_fields, shred
 from loomspan.operators.skew import balanced_join, fragment, lookup, measure, placed, plan_balance, value_counts
-from loomspan.operators.wide import cell_states, long_values, widen
+from loomspan.operators.wide import CELL_LIMIT, cell_states, long_values, widen
+from loomspan.plans import general
 
 DEFS = [("P1", "item", "wikibase-item", "single"), ("P2", "n", "quantity", "single"), ("P3", "t", "time", "single"), ("P4", "s", "string", "single"), ("P5", "ns", "quantity", "many"), ("p6 ", "ss", "string", "many")]
 
@@ -279,3 +282,15 @@ def test_scratch_is_freed(spark):
     second.save(spark.range(3))
     free(at)
     assert kept.count() == 3 and not Path(urlparse(second.root).path).exists() and Path(urlparse(first.root).path).exists()
+
+
+def test_wide_has_long_cells(spark, sf_dir, tmp_path):
+    """The wide table agrees with its SQL where cells have more values than widen holds in a row, or values equal as text."""
+    shutil.copy(f"{sf_dir}/property_defs.parquet", tmp_path)
+    n = CELL_LIMIT + 2
+    rows = [(q, p, v) for i in range(n) for q, p, v in (("Q1", "P31", f"Q{i}"), ("Q1", "P7203", f"{i}.25"), ("Q1", "P7303", f"{1000 + i}-01-02"), ("Q2", "P7402", f"a{i}"))]
+    rows += [("Q2", "P7203", "1.0001"), ("Q2", "P7203", "1.0004"), ("Q2", "P31", "Q7"), ("Q1", "P7401", "one"), ("Q3", "P31", "Q1")]
+    spark.createDataFrame(rows, "qid string, property_id string, value string").coalesce(1).write.parquet(str(tmp_path / "entity_rels.parquet"))
+    got = general.p1_wide(spark, str(tmp_path))
+    assert compare(got, connect(str(tmp_path)), general.oracle_sql()["p1_wide"]) == ""
+    assert len(got.where("qid = 'Q1'").first().P31.split("|")) == n
