@@ -103,12 +103,13 @@ def iob(spark: SparkSession, path: str, url_column: int = 4, skip_nil: bool = Fa
     """
     body = _sentences(spark, path)
     sents = body.select("doc_id", "sent", F.transform("lines", lambda x: _token(F.substring_index(x, "\t", 1))).alias("tokens"))
-    words = F.transform("lines", lambda x, i: F.struct(i.alias("w"), F.split(x, "\t").alias("c")))
     least = url_column - 1 if skip_nil else url_column
-    tagged = body.select("file", "doc_id", "sent", F.explode(F.filter(words, lambda x: F.size(x["c"]) > least)).alias("x")).select("file", "doc_id", "sent", "x.w", "x.c")
-    opens = F.get("c", F.lit(1)) == "B"
-    tagged = tagged.withColumn("m", _running(opens, ["file", "sent"], "w")).withColumn("url", F.get("c", F.lit(url_column if not skip_nil else url_column - 1)))
-    found = tagged.where("m > 0").groupBy("file", "sent", "doc_id", "m").agg(F.min("w").alias("start"), (F.max("w") + 1).alias("end"), F.min_by(F.get("c", F.lit(2)), "w").alias("alias"), F.min_by("url", "w").alias("url"), F.min_by(F.get("c", F.lit(url_column)) if skip_nil else F.lit(None).cast("string"), "w").alias("qid"))
+    words = F.transform("lines", lambda x, i: F.struct(i.alias("w"), F.split(x, "\t").alias("c")))
+    tagged = body.select("doc_id", "sent", F.filter(words, lambda x: F.size(x["c"]) > least).alias("tagged"))
+    opens = F.filter(F.transform("tagged", lambda x, i: F.struct(i.alias("i"), x["w"].alias("w"), x["c"].alias("c"))), lambda x: F.get(x["c"], F.lit(1)) == "B")
+    end = lambda m: F.get("tagged", F.coalesce(F.get("opens", m + 1)["i"], F.size("tagged")) - 1)["w"] + 1
+    spans = F.transform("opens", lambda x, m: F.struct(m.alias("m"), x["w"].alias("start"), end(m).alias("end"), x["c"].alias("c")))
+    found = tagged.withColumn("opens", opens).select("doc_id", "sent", F.explode(spans).alias("x")).select("doc_id", "sent", "x.m", "x.start", "x.end", F.get("x.c", F.lit(2)).alias("alias"), F.get("x.c", F.lit(least)).alias("url"), (F.get("x.c", F.lit(url_column)) if skip_nil else F.lit(None).cast("string")).alias("qid"))
     if skip_nil:
         found = found.where(~F.col("url").startswith("--NME--"))
     al = F.row_number().over(Window.partitionBy("doc_id").orderBy("sent", "m")) - 1

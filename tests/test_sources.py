@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import DataFrameReader
@@ -183,3 +184,13 @@ def test_iob_reads_no_file_as_a_row(spark, tmp_path, monkeypatch, skip_nil):
     _, found = corpora.iob(spark, put(tmp_path / "aida", IOB), skip_nil=skip_nil)
     assert asked and not any(asked)
     assert [r.qid for r in found.orderBy("al").collect()] == ([f"http://en.wikipedia.org/wiki/{x}" for x in "AB"] if skip_nil else [None, None])
+
+
+def test_iob_mentions_stay_in_their_sentence(spark, tmp_path):
+    """Only sentences cut by a block's end are shuffled, tagged words never."""
+    lines = ["-DOCSTART- (7)", "z\tI\tlost\tu", "a\tB\tA b\tu1\tQ1", "b\tI\tA b\tu1\tQ1", "c", "d\tI\tA b\tu1\tQ1", "e\tB\tE\t--NME--\tQ2", "f\tB\tF\tu3\t", "g\tB", "h\tB\tH\tu4", "", "i\tB\tI\tu5\tQ5\tx", "", "j\tI\tno\tu6"]
+    _, found = corpora.iob(spark, put(tmp_path / "aida", "\n".join(lines)), skip_nil=True)
+    assert [tuple(r) for r in found.orderBy("al").collect()] == [("7", 1, "a b", 1, 5, "u1", 0, "Q1"), ("7", 1, "f", 6, 7, "u3", 1, None), ("7", 1, "h", 8, 9, "u4", 2, None), ("7", 2, "i", 0, 1, "u5", 3, "Q5")]
+    plan = found.select("doc_id", "alias", "qid")._jdf.queryExecution().executedPlan().toString()
+    keys = {tuple(re.findall(r"(\w+)#", x)) for x in re.findall(r"hashpartitioning\((.*?), \d+\)", plan)}
+    assert keys and keys <= {("file", "block"), ("file",), ("file", "doc_id", "sent")}
